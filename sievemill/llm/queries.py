@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemill.llm import encoding
+from sievemill.functions.text import case_number, instant_micros
+from sievemill.llm import encoding, lookalike, survivor
 from sievemill.session import table
 
 
@@ -46,9 +47,44 @@ def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("tbl", "row_id", "field", "pos", "value", "fixed", "whole", "steps")
 
 
+HEADER = ["judicialclass", "subject", "filingdate", "jurisdiction", "court", "judgingbody", "address", "referencecase"]
+
+
+def _survivors(spark: SparkSession, sf: str) -> DataFrame:
+    cases = table(spark, sf, "cases")
+    return survivor.best_fields(
+        cases, case_number(F.col("number")), HEADER, ~F.coalesce("sealed", F.lit(False)), instant_micros(F.col("extractedat")), F.col("seq")
+    )
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The row that supplies each header field of a case listed several times."""
+    return _survivors(spark, sf).select(F.col("key").alias("number"), "field", F.col("arrival").alias("seq"))
+
+
+def p7_records(spark: SparkSession, sf: str) -> DataFrame:
+    """One surviving record per case listed several times."""
+    best = _survivors(spark, sf)
+    return best.groupBy(F.col("key").alias("number")).agg(*(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in HEADER))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each pair of documents that look the same and aren't the same string."""
+    return lookalike.same_look_pairs(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p10_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents whose text isn't in its consistent form, with that form."""
+    return lookalike.canonical_texts(table(spark, sf, "documents"), "text", ["doc_id"]).where("text <> canonical").select("doc_id", "canonical")
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_restored": p3_restored,
+    "p7_found": p7_found,
+    "p7_records": p7_records,
+    "p10_found": p10_found,
+    "p10_canonical": p10_canonical,
 }
 #: Most of these have no SQL form; they are tested against brute force.
 ORACLES: dict[str, str] = {}
