@@ -30,17 +30,17 @@ LOOKALIKES = dict(
 #: Hyphens that look like hyphen-minus. Fixed values.
 HYPHENS = "‐‑᠆﹣－"
 #: Invisible characters that aren't of the format category. Fixed values.
-INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, range(0xFE00, 0xFE10)))
+INVISIBLE = "\u034Fᅟᅠ\u17B4\u17B5ㅤﾠ" + "".join(map(chr, range(0xFE00, 0xFE10)))
 #: Texts without any of these characters are in their canonical form already:
 #: anything but ASCII, composed Latin-1 letters and a few signs.
 UNUSUAL = r"[^\n\x20-\x7E\xA1-\xAC\xAE-\xFF–—‘’“”]"
-_TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
+_TOKEN = re.compile(r"[^\W\d_]+(?:[\u0300-\u036F]+[^\W\d_]*)*")
 
 
 @lru_cache(maxsize=200_000)
 def _fold_char(c: str) -> str:
     """One character without what can't be seen; look-alikes stay."""
-    if c in "\n\t\r" or c in ("\x85", " ", " "):
+    if c in "\n\t\r" or c in ("\x85", "\u2028", "\u2029"):
         return " " if c == "\t" else "\n"
     if c in HYPHENS:
         return "-"

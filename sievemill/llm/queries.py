@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.functions.text import case_number, instant_micros
-from sievemill.llm import encoding, lookalike, survivor
+from sievemill.llm import encoding, leakage, lookalike, packing, survivor
 from sievemill.session import table
 
 
@@ -47,6 +47,8 @@ def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("tbl", "row_id", "field", "pos", "value", "fixed", "whole", "steps")
 
 
+#: The vocabulary by which texts are measured; its path is a parameter of the operator.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 HEADER = ["judicialclass", "subject", "filingdate", "jurisdiction", "court", "judgingbody", "address", "referencecase"]
 
 
@@ -78,11 +80,31 @@ def p10_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike.canonical_texts(table(spark, sf, "documents"), "text", ["doc_id"]).where("text <> canonical").select("doc_id", "canonical")
 
 
+def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The container of 2,048 tokens of each text or piece."""
+    return packing.pack(table(spark, sf, "documents"), "doc_id", "text", "source", VOCABULARY, 2048)
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document and held-out item that share 13 consecutive words."""
+    found = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"), "doc_id", "item_id", "text", "text", width=13)
+    return found.select("doc_id", "item_id")
+
+
+def p9_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and items with windows of 13 words at most two edits apart."""
+    found = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"), "doc_id", "item_id", "text", "text", width=13, max_edits=2)
+    return found.select("doc_id", "item_id", "windows", "least_edits")
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p7_found": p7_found,
     "p7_records": p7_records,
+    "p8_packed": p8_packed,
+    "p9_found": p9_found,
+    "p9_near": p9_near,
     "p10_found": p10_found,
     "p10_canonical": p10_canonical,
 }
