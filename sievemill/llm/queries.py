@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.functions.text import case_number, instant_micros
-from sievemill.llm import encoding, leakage, lookalike, packing, survivor
+from sievemill.llm import encoding, leakage, lookalike, names, packing, survivor
 from sievemill.session import table
 
 
@@ -47,6 +47,22 @@ def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("tbl", "row_id", "field", "pos", "value", "fixed", "whole", "steps")
 
 
+def _entities(spark: SparkSession, sf: str) -> DataFrame:
+    return names.entities(table(spark, sf, "party_rows"), "party_id", "name", "oab", "doc_value")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each pair of party rows of one person or organisation."""
+    return names.same_entity_pairs(_entities(spark, sf)).select(F.col("a").alias("party_id_a"), F.col("b").alias("party_id_b"))
+
+
+def p5_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """The entity of each party row, under its lowest party_id."""
+    found = _entities(spark, sf)
+    lowest = found.groupBy("entity").agg(F.min("id").alias("entity_id"), F.count(F.lit(1)).alias("n_rows"))
+    return found.join(lowest, "entity").select(F.col("id").alias("party_id"), "entity_id", "n_rows")
+
+
 #: The vocabulary by which texts are measured; its path is a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 HEADER = ["judicialclass", "subject", "filingdate", "jurisdiction", "court", "judgingbody", "address", "referencecase"]
@@ -100,6 +116,8 @@ def p9_near(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_restored": p3_restored,
+    "p5_found": p5_found,
+    "p5_entities": p5_entities,
     "p7_found": p7_found,
     "p7_records": p7_records,
     "p8_packed": p8_packed,
