@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievemill.plans import data_queries
+from sievemill.plans import core_queries, core_sql, data_queries
 
-QUERIES = {**data_queries.QUERIES}
-ORACLES: dict[str, str] = {}
+QUERIES = {**core_queries.QUERIES, **data_queries.QUERIES}
+ORACLES = dict(core_sql.ORACLES)
