@@ -153,9 +153,8 @@ def first_listing(listings: DataFrame, number: str, path: list[str], seen: DataF
 def history_start(years: DataFrame, year: str, today: int, depth: int = 50) -> DataFrame:
     """The first year with rows, at least ``today - depth``; without any rows this year. One row: ``first_year``.
 
-    The bisection's answer is the lowest year such that the years from it to
-    today hold all rows of the probed range, which is the first year itself.
+    One aggregate gives what a bisection over the years would narrow down to.
     """
     floor = F.lit(today - depth)
     first = F.min(F.when(F.col(year) <= today, F.col(year)))
-    return years.agg(F.coalesce(F.greatest(first, floor), F.lit(today)).cast("int").alias("first_year"))
+    return years.agg(F.when(first.isNull(), F.lit(today)).otherwise(F.greatest(first, floor)).cast("int").alias("first_year"))
