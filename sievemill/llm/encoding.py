@@ -28,8 +28,8 @@ _TRIGRAM = r"(?s)(?=(.?[^\x00-\x7F].?))"
 ESCAPES = r"&#?\w+;|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}"
 #: A text must be cheaper by this many bits.
 MARGIN = 4.5
-#: A value of trigrams with a share of one in COMMON each isn't searched.
-COMMON = 6000
+#: A value of trigrams that occur COMMON_ROWS times and have a share of one in COMMON each isn't searched.
+COMMON, COMMON_ROWS = 6000, 30
 _GRAMS = re.compile(r"(?s)(?=(.?[^\x00-\x7F].?))")
 #: Beside Latin letters, ordinals and common signs: never skipped.
 _FOREIGN = re.compile("[^\x00-\x7f\xa0\xa7\xaa\xb0\xba\xc0-\xd6\xd8-\xf6\xf8-\xff\u2013\u2014\u2018\u2019\u201c\u201d]")
@@ -159,7 +159,7 @@ class Plausibility:
             chars[middle] = chars.get(middle, 0) + n
         self.chars = chars
         self.cost = lru_cache(maxsize=50_000)(self._cost)
-        self.common = frozenset(g for g, n in counts.items() if n * COMMON >= self.total)
+        self.common = frozenset(g for g, n in counts.items() if n >= COMMON_ROWS and n * COMMON >= self.total)
 
     def all_common(self, text: str) -> bool:
         """True if each trigram is so frequent that the text needs no search."""
@@ -182,7 +182,8 @@ class Plausibility:
             gram = low[max(0, i - 1) : i + 2]
             n = self.counts.get(gram, 0)
             if n:
-                bits += math.log2(self.total / n)
+                # Without the value itself: what occurs once has no support.
+                bits += math.log2(self.total / max(n - 1, 0.2))
             elif known:
                 bits += math.log2(self.total / known) + 10
             else:
@@ -261,14 +262,15 @@ def _final_lost(m: re.Match[str], model: Plausibility) -> bool:
 def learn(values: DataFrame, value: str) -> Plausibility:
     """Trigram counts and words that end in a letter beyond ASCII, over all values.
 
-    Counted in the cluster; only entries with a share of LEAST_SHARE come to
+    Each counts once per value, so no long value makes its own rule. Counted
+    in the cluster; only entries with a share of LEAST_SHARE come to
     the driver, at most 1 / LEAST_SHARE of each kind. An empty input gives an
     empty model, under which nothing but lost characters is damaged.
     """
     low = F.lower(F.col(value))
     grams = F.transform(F.regexp_extract_all(low, F.lit(_TRIGRAM), F.lit(1)), lambda g: F.concat(F.lit("g"), g))
     finals = F.transform(F.regexp_extract_all(low, F.lit(r"(?<![\p{L}])([a-z]{1,30})[ªºÀ-ſ](?![\p{L}])"), F.lit(1)), lambda w: F.concat(F.lit("w"), w))
-    counted = values.where(F.col(value).rlike(r"[^\x00-\x7F]")).select(F.explode(F.concat(grams, finals)).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    counted = values.where(F.col(value).rlike(r"[^\x00-\x7F]")).select(F.explode(F.array_distinct(F.concat(grams, finals))).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n"))
     total = counted.agg(F.sum(F.when(F.col("e").startswith("g"), F.col("n")).otherwise(0)).alias("t")).first()["t"] or 0
     kept = counted.where(F.col("n") >= max(1, math.ceil(total * LEAST_SHARE))).collect()
     counts = {r["e"][1:]: r["n"] for r in kept if r["e"][0] == "g"}

@@ -67,8 +67,8 @@ def best_fields(
     needs ``least_rows`` rows. A field comes from the rows where it is valid:
     ``preferred`` rows first, then the latest ``at`` (microseconds), then the
     lowest ``arrival``. A value without a timestamp in the same class takes
-    the place of the latest dated one if it is learnt to be newer, or if
-    there is no dated one; among several such values the topologically
+    the place of the latest dated one if it is learnt to be newer, directly or
+    through one value between, or if there is no dated one; among several such values the topologically
     latest one is taken, then the lowest arrival. Fields without a valid
     value don't come out. Repeated rows make a group but change no choice.
     """
@@ -98,7 +98,11 @@ def best_fields(
     undated = undated.select("__key", "__pref", "__arrival", "c.field", "c.value").where("value is not null")
     undated = undated.groupBy("__key", "__pref", "field", "value").agg(F.min("__arrival").alias("__arrival"))
     candidates = undated.join(open_groups, ["__key", "field", "__pref"])
-    newer_than_dated = precedence.select("field", F.col("older").alias("__dated"), F.col("newer").alias("value"), F.lit(True).alias("__beats"))
+    steps = precedence.select("field", F.col("older").alias("value"), F.col("newer").alias("__next"))
+    held = candidates.where("d is not null").select("field", F.col("d.value").alias("__dated")).distinct()
+    direct = held.withColumn("value", F.col("__dated")).join(steps, ["field", "value"]).select("field", "__dated", F.col("__next").alias("value"))
+    further = direct.join(steps, ["field", "value"]).select("field", "__dated", F.col("__next").alias("value"))
+    newer_than_dated = direct.union(further).where(~F.col("value").eqNullSafe(F.col("__dated"))).distinct().withColumn("__beats", F.lit(True))
     rivals = candidates.withColumn("__dated", F.col("d.value")).join(newer_than_dated, ["field", "__dated", "value"], "left").where("d is null or __beats")
     followers = rivals.select("__key", "field", "value", "__arrival").join(precedence.select("field", F.col("older").alias("value"), F.col("newer").alias("__next")), ["field", "value"])
     surpassed = followers.join(rivals.select("__key", "field", F.col("value").alias("__next")), ["__key", "field", "__next"], "left_semi").select("__key", "field", "value").distinct()
