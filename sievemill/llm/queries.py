@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievemill.functions.text import case_number, instant_micros
 from sievemill.llm import encoding, leakage, lookalike, names, packing, survivor
+from sievemill.plans.core_sql import instant, number
 from sievemill.session import table
 
 
@@ -126,5 +127,15 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_canonical": p10_canonical,
 }
-#: Most of these have no SQL form; they are tested against brute force.
-ORACLES: dict[str, str] = {}
+#: The others have no SQL form; they are tested against brute force.
+_NO_VALUE = "('n/i', 'n/d', 'n/a', 'n.i.', 'n.d.', 'n.a.', 'não informado', 'não informada', 'nao informado', 'nao informada', 'sem informação', 'sem informacao', 'não consta', 'nao consta', 'null', 'none')"
+_FIELDS = " union all ".join(f"select number, '{f}' as field, {f} as value, pref, instant, seq from k" for f in HEADER)
+ORACLES: dict[str, str] = {
+    "p7_found": f"""
+with k as (
+  select {number('number')} as number, coalesce(sealed, false) as pref, {instant('extractedat')} as instant, seq, {', '.join(HEADER)},
+         count(*) over (partition by {number('number')}) as n from cases),
+f as (select * from ({_FIELDS.replace('from k', 'from k where n > 1')})
+      where regexp_matches(value, '[\\p{{L}}\\p{{N}}]') and lower(trim(replace(value, chr(160), ' '))) not in {_NO_VALUE})
+select number, field, seq from f qualify row_number() over (partition by number, field order by pref, instant desc, seq) = 1""",
+}
