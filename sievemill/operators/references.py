@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 #: refs, made and gone are signed counts; first_at is the instant (microseconds)
 #: at which the earliest record that still exists came to be.
-DELTA = ["domain", "ref_key", "refs", "made", "gone", "at"]
+DELTA = ["domain", "ref_key", "refs", "made", "gone", "at", "ref_at"]
 
 
-def reference_deltas(domain: str, refs: DataFrame, key: Column) -> DataFrame:
-    """+1 reference per row; a null key refers to nothing and is left out."""
+def reference_deltas(domain: str, refs: DataFrame, key: Column, at: Column) -> DataFrame:
+    """+1 reference per row, made at ``at``; a null key refers to nothing and is left out."""
     return refs.select(
         F.lit(domain).alias("domain"), key.alias("ref_key"), F.lit(1).alias("refs"), F.lit(0).alias("made"), F.lit(0).alias("gone"),
-        F.lit(None).cast("bigint").alias("at"),
+        F.lit(None).cast("bigint").alias("at"), at.alias("ref_at"),
     ).where("ref_key is not null")
 
 
@@ -31,12 +31,12 @@ def existence_deltas(domain: str, records: DataFrame, key: Column, since: Column
     gone = F.lit(0) if removed is None else F.when(removed, 1).otherwise(0)
     return records.select(
         F.lit(domain).alias("domain"), key.alias("ref_key"), F.lit(0).alias("refs"), F.lit(1).alias("made"), gone.alias("gone"),
-        F.when(gone == 0, since).alias("at"),
+        F.when(gone == 0, since).alias("at"), F.lit(None).cast("bigint").alias("ref_at"),
     ).where("ref_key is not null")
 
 
 def key_states(deltas: list[DataFrame]) -> DataFrame:
-    """One row per domain and key: ``refs, made, gone, alive, first_at``.
+    """One row per domain and key: ``refs, made, gone, alive, first_at, ref_first``.
 
     Deltas of any order and any number of batches may be summed; rows are
     pre-aggregated before the shuffle, so a hot key costs one row per task.
@@ -44,7 +44,7 @@ def key_states(deltas: list[DataFrame]) -> DataFrame:
     union = reduce(DataFrame.unionByName, deltas)
     return union.groupBy("domain", "ref_key").agg(
         F.sum("refs").alias("refs"), F.sum("made").alias("made"), F.sum("gone").alias("gone"),
-        (F.sum("made") - F.sum("gone")).alias("alive"), F.min("at").alias("first_at"),
+        (F.sum("made") - F.sum("gone")).alias("alive"), F.min("at").alias("first_at"), F.min("ref_at").alias("ref_first"),
     )
 
 
@@ -59,7 +59,8 @@ def orphan_rows(refs: DataFrame, states: DataFrame) -> DataFrame:
     orphaned are joined: those without existence, or whose first record is
     younger than some reference to them.
     """
-    wanted = states.where("refs > 0").select("domain", "ref_key", "made", "alive", "first_at")
+    orphaned = (F.col("made") == 0) | (F.col("alive") <= 0) | (F.col("first_at") > F.col("ref_first"))
+    wanted = states.where((F.col("refs") > 0) & orphaned).select("domain", "ref_key", "made", "alive", "first_at")
     joined = refs.join(wanted, ["domain", "ref_key"])
     state = F.when(F.col("made") == 0, "missing").when(F.col("alive") <= 0, "deleted").when(F.col("first_at") > F.col("ref_at"), "late")
     return joined.withColumn("state", state).where("state is not null").drop("made", "alive", "first_at")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sievemill.functions.scalars import matches_filter
 
 EPOCH = dt.date(1970, 1, 1)
+MOST_CLASSES = 10_000
 
 
 def halving_tree(lo: int, hi: int) -> list[tuple[int, int, int, str, int | None, int | None]]:
@@ -87,10 +88,12 @@ def class_split(rows: DataFrame, day: Column, class_id: Column, catalog: DataFra
     """The classes of each saturated day: ``day, class_id, ord, n, shown, kind``.
 
     Every class of the catalog is one search, so classes without rows stay.
-    ``kind`` is window or saturated. An empty catalog is an error.
+    ``kind`` is window or saturated. An empty catalog is an error, as is one
+    of more than ``MOST_CLASSES``: it is a dimension that travels with the plan.
     """
-    if catalog.isEmpty():
-        raise ValueError("the class catalog is empty")
+    size = catalog.limit(MOST_CLASSES + 1).count()
+    if not 0 < size <= MOST_CLASSES:
+        raise ValueError("the class catalog is empty or too large")
     base = rows.select(F.date_format(day, "yyyy-MM-dd").alias("day"), class_id.alias("class_id"))
     counts = base.groupBy("day", "class_id").agg(F.count(F.lit(1)).alias("n"))
     days = counts.groupBy("day").agg(F.sum("n").alias("day_n")).where(F.col("day_n") >= cap).select("day")

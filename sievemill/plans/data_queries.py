@@ -59,11 +59,11 @@ def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     by_path = refs("cases", "localpath", held.withColumn("ref_at", F.col("at")), file_path(F.col("d.localpath")), F.col("pos"))
     all_refs = reduce(DataFrame.unionByName, [by_case, by_document, by_path])
     deltas = [
-        references.reference_deltas("casenumber", failures, F.col("number")),
+        references.reference_deltas("casenumber", failures, F.col("number"), F.col("ref_at")),
         references.existence_deltas("casenumber", cases, F.col("number"), F.col("at")),
-        references.reference_deltas("documentid", failures, document_key(F.col("number"), F.col("document_id"))),
+        references.reference_deltas("documentid", failures, document_key(F.col("number"), F.col("document_id")), F.col("ref_at")),
         references.existence_deltas("documentid", held, document_key(F.col("number"), F.col("d.download.idprocessodocumento")), F.col("at")),
-        references.reference_deltas("localpath", held, file_path(F.col("d.localpath"))),
+        references.reference_deltas("localpath", held, file_path(F.col("d.localpath")), F.col("at")),
         references.existence_deltas("localpath", files, file_path(F.col("path")), F.unix_micros(F.col("storedat").cast("timestamp")), F.col("removedat").isNotNull()),
     ]
     found = references.orphan_rows(all_refs, references.key_states(deltas))

@@ -8,7 +8,7 @@ from sievemill.operators import references as R
 def test_states(spark):
     refs = spark.createDataFrame([("d", "k1", 10, 1), ("d", "k2", 10, 2), ("d", "k3", 10, 3), ("d", "k4", 10, 4), ("d", "k1", 10, 5), ("d", None, 10, 6), ("d", "k5", None, 7)], "domain string, ref_key string, ref_at bigint, id int")
     made = spark.createDataFrame([("k2", 5, False), ("k3", 20, False), ("k4", 5, True), ("k5", 50, False), (None, 1, False)], "k string, at bigint, gone boolean")
-    states = R.key_states([R.reference_deltas("d", refs, F.col("ref_key")), R.existence_deltas("d", made, F.col("k"), F.col("at"), F.col("gone"))])
+    states = R.key_states([R.reference_deltas("d", refs, F.col("ref_key"), F.col("ref_at")), R.existence_deltas("d", made, F.col("k"), F.col("at"), F.col("gone"))])
     got = rows(R.orphan_rows(refs, states).select("id", "state"))
     assert got == [(1, "missing"), (3, "late"), (4, "deleted"), (5, "missing")]
     assert {r.ref_key: (r.refs, r.alive) for r in states.collect()}["k1"] == (2, 0)
@@ -16,7 +16,7 @@ def test_states(spark):
 
 def test_empty(spark):
     refs = spark.createDataFrame([], "domain string, ref_key string, ref_at bigint")
-    states = R.key_states([R.reference_deltas("d", refs, F.col("ref_key"))])
+    states = R.key_states([R.reference_deltas("d", refs, F.col("ref_key"), F.col("ref_at"))])
     assert R.orphan_rows(refs, states).count() == 0
 
 
@@ -26,7 +26,7 @@ def test_spellings(spark):
         "a string, want string",
     )
     assert all(r.got == r.want for r in df.select("want", case_number(F.col("a")).alias("got")).collect())
-    paths = [("./pdfs//a/./b.pdf", "pdfs/a/b.pdf"), ("pdfs\\a\\b.pdf", "pdfs/a/b.pdf"), ("pdfs/Intimação.pdf", "pdfs/Intimação.pdf"), (None, None), ("pdfs/./././b.pdf", "pdfs/b.pdf")]
+    paths = [("./pdfs//a/./b.pdf", "pdfs/a/b.pdf"), ("pdfs\\a\\b.pdf", "pdfs/a/b.pdf"), ("pdfs/Intimac\u0327a\u0303o.pdf", "pdfs/Intimação.pdf"), (None, None), ("pdfs/./././b.pdf", "pdfs/b.pdf")]
     df = spark.createDataFrame(paths, "a string, want string")
     assert all(r.got == r.want for r in df.select("want", file_path(F.col("a")).alias("got")).collect())
     times = ["2025-01-03T15:46:10.443Z", "2025-01-03 15:46:10.443Z", "2025-01-03T12:46:10.443-03:00", "2025-01-03T15:46:10.443000Z", "2025-01-03T17:46:10.443+0200", "2025-01-03T15:46:10.443"]
