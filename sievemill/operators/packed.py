@@ -18,7 +18,14 @@ from sievemill.session import cut
 
 #: Blanks other than tab and line ends, folded to a plain one in marked text.
 _WIDE_BLANKS = "".join(map(chr, [0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]))
-_EDGE_L, _EDGE_R = rf"(?<![^{BLANKS};|,])", rf"(?![^{BLANKS};|,])"
+#: What may stand beside a delimiter that is a word or a solidus: blanks, other delimiters, marks, the ends.
+_BESIDE = rf"{BLANKS};|,\uE000-\uE0FF"
+
+
+def _apart(sign: str) -> str:
+    """A pattern of a sign that stands apart. The sign is matched first, so that most places fail at once."""
+    return rf"(?:{sign})(?<![^{_BESIDE}](?:{sign}))(?![^{_BESIDE}])"
+
 
 #: Candidate delimiters: name and Java pattern, in the order in which they are
 #: marked (the longer form of a sign before the bare one).
@@ -28,24 +35,31 @@ CANDIDATES = {
     "newline": r"[\r\n]",
     "tab": r"\t",
     "comma": ",",
-    "spaced_solidus": rf"{_EDGE_L}/{_EDGE_R}",
+    "spaced_solidus": _apart("/"),
     "bare_solidus": "/",
-    "spaced_hyphen": rf"(?<=[{BLANKS}])-(?=[{BLANKS}])",
-    "side_vs": rf"{_EDGE_L}(?i:vs|versus)\.?{_EDGE_R}",
-    "side_x_dot": rf"{_EDGE_L}[Xx]\.{_EDGE_R}",
-    "side_x": rf"{_EDGE_L}[Xx×]{_EDGE_R}",
+    "spaced_hyphen": rf"-(?<=[{BLANKS}]-)(?=[{BLANKS}])",
+    "side_vs": _apart(r"[Vv][Ss]|[Vv][Ee][Rr][Ss][Uu][Ss]|[Vv][Ss]\."),
+    "side_x_dot": _apart(r"[Xx]\."),
+    "side_x": _apart("[Xx×]"),
     "full_stop": r"\.",
-    "ampersand": rf"(?<=[{BLANKS}])&(?=[{BLANKS}])",
-    "word_e": rf"(?<=[{BLANKS}])[Ee](?=[{BLANKS}])",
+    "ampersand": rf"&(?<=[{BLANKS}]&)(?=[{BLANKS}])",
+    "word_e": rf"[Ee](?<=[{BLANKS}][Ee])(?=[{BLANKS}])",
 }
+#: The characters with which each candidate can begin: a field without them is passed over.
+_FIRST = {
+    "semicolon": ";", "bar": "|", "newline": "\r\n", "tab": "\t", "comma": ",", "spaced_solidus": "/", "bare_solidus": "/", "spaced_hyphen": "-",
+    "side_vs": "Vv", "side_x_dot": "Xx", "side_x": "Xx×", "full_stop": ".", "ampersand": "&", "word_e": "Ee",
+}
+#: Candidates of one character each are marked in one pass.
+_SINGLE_SIGNS = {"semicolon": ";", "bar": "|", "newline": "\r\n", "tab": "\t", "comma": ","}
 _MARK = {name: chr(0xE000 + k) for k, name in enumerate(CANDIDATES)}
 _ALL_MARKS = "".join(_MARK.values())
 _MARK_CLASS = r"[\uE000-\uE0FF]"
 
 #: A quoted span. Double quotes may open anywhere but inside a word; single
 #: quotes only where a piece can begin, since they are apostrophes too.
-_DOUBLE = r'(?<![\p{L}\p{N}"])"(?:[^"]++|"")*+"(?![\p{L}\p{N}])'
-_SINGLE = rf"{_EDGE_L}'(?:[^']++|''|'(?=\p{{L}}))*+'{_EDGE_R}"
+_DOUBLE = r'"(?<![\p{L}\p{N}"]")(?:[^"]++|"")*+"(?![\p{L}\p{N}])'
+_SINGLE = rf"'(?<![^{_BESIDE}/]')(?:[^']++|''|'(?=\p{{L}}))*+'(?![^{_BESIDE}/])"
 _QUOTED = f"{_DOUBLE}|{_SINGLE}"
 #: A piece that can be a whole value: at least two words, the first of letters.
 _REGULAR = r"\p{L}[^ \uE000-\uE0FF]*+ ++[^ \uE000-\uE0FF]"
@@ -55,12 +69,36 @@ def _plain(field: Column) -> Column:
     return F.translate(field, _WIDE_BLANKS, " " * len(_WIDE_BLANKS))
 
 
-def _marked(field: Column) -> Column:
-    """The field with quoted spans masked and each candidate replaced by its mark."""
-    text = F.regexp_replace(field, _QUOTED, "Q Q")
-    for name, pattern in CANDIDATES.items():
-        text = F.regexp_replace(text, pattern, _MARK[name])
-    return _plain(text)
+def _quotes(field: Column) -> Column:
+    return F.contains(field, F.lit('"')) | F.contains(field, F.lit("'"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _mark(text: Column, names: list[str]) -> Column:
+    """A text with each of the named delimiters replaced by its mark."""
+    signs = {c: _MARK[n] for n, cs in _SINGLE_SIGNS.items() if n in names for c in cs}
+    if signs:
+        text = F.translate(text, "".join(signs), "".join(signs.values()))
+    for name in CANDIDATES:
+        if name in names and name not in _SINGLE_SIGNS:
+            text = _let(text, _marker(name))
+    return text
+
+
+def _marker(name: str):
+    return lambda t: F.when(_begins(t, name), F.regexp_replace(t, CANDIDATES[name], _MARK[name])).otherwise(t)
+
+
+def _begins(text: Column, name: str) -> Column:
+    """Whether a text holds a character with which the candidate can begin."""
+    here = F.lit(False)
+    for c in _FIRST[name]:
+        here = here | F.contains(text, F.lit(c))
+    return here
 
 
 def _value_count(signature: Column, marks: Column) -> Column:
@@ -94,7 +132,8 @@ def infer_delimiters(
         (F.col(group).cast("string") if group else F.lit(None).cast("string")).alias("group_key"),
         F.col(field).alias("packed_text"),
     ).where(F.col("packed_text").rlike(f"[^{BLANKS}]"))
-    rows = rows.select("source_key", "group_key", _marked(F.col("packed_text")).alias("marked"))
+    masked = F.when(_quotes(F.col("packed_text")), F.regexp_replace("packed_text", _QUOTED, "Q Q")).otherwise(F.col("packed_text"))
+    rows = rows.select("source_key", "group_key", _plain(_mark(masked, list(CANDIDATES))).alias("marked"))
     sig = F.regexp_replace(F.regexp_replace("marked", r"[\p{L}\p{N}]++", "w"), r"[^w\uE000-\uE0FF]++", "")
     sig = F.regexp_replace(sig, "w++", "w")
     stats = []
@@ -125,16 +164,16 @@ def infer_delimiters(
         .withColumn("fits", (F.col("regularity") + F.col("whole_rows")) / 2 >= least_score)
     )
     fitting = scores.where("fits").groupBy("source_key").agg(F.array_join(F.sort_array(F.collect_set("mark")), "").alias("marks"))
-    # The signatures of one key under all fitting delimiters, and with each left out.
-    spread = keyed.where("group_key is not null").select("source_key", "group_key", "signature", "n").join(fitting, "source_key")
-    counts = spread.select(
-        "source_key", "group_key", "n", "marks", "signature",
-        _value_count(F.col("signature"), F.col("marks")).alias("full"),
+    # The signatures under all fitting delimiters, and with each left out. There are far fewer of them than rows.
+    spread = keyed.where("group_key is not null").select("source_key", "group_key", "signature", "n")
+    kinds = spread.select("source_key", "signature").distinct().join(fitting, "source_key").select(
+        "source_key", "signature", _value_count(F.col("signature"), F.col("marks")).alias("full"),
         F.transform(
             F.split("marks", ""),
             lambda m: F.struct(m.alias("mark"), F.contains("signature", m).alias("here"), _value_count(F.col("signature"), F.replace(F.col("marks"), m, F.lit(""))).alias("left")),
         ).alias("outs"),
     )
+    counts = spread.join(kinds, ["source_key", "signature"])
     flat = counts.select("source_key", "group_key", "n", "full", F.explode("outs").alias("o"))
     agree = (
         flat.groupBy("source_key", "group_key", F.col("o.mark").alias("mark"))
@@ -167,10 +206,14 @@ def split_packed(field: Column, names: list[str]) -> Column:
     """The values of a field under the given delimiters, as an array."""
     ordered = [n for n in CANDIDATES if n in names]
     delimiter = "|".join(CANDIDATES[n] for n in ordered)
-    # Possessive groups run in a loop in Java, so no field is too long for the stack.
-    piece = rf"(?s)(?:{delimiter})*+((?:{_QUOTED}|(?!{delimiter}).)*+)" if ordered else "(?s)(.++)"
-    raw = F.regexp_extract_all(field, F.lit(piece), F.lit(1))
-    return F.filter(F.transform(raw, lambda p: unquote(strip_blanks(p))), lambda p: p != "")
+    # Runs of characters that begin no delimiter and no quote are passed in one step. Possessive groups
+    # run in a loop in Java, so no field is too long for the stack.
+    begins = "".join(sorted({c for n in ordered for c in _FIRST[n]}))
+    run = "[^\"'" + "".join(f"\\u{ord(c):04X}" for c in begins) + "]++"
+    piece = rf"(?s)(?:{delimiter})*+((?:{run}|{_QUOTED}|(?!{delimiter}).)*+)" if ordered else "(?s)(.++)"
+    quoted = F.transform(F.regexp_extract_all(field, F.lit(piece), F.lit(1)), lambda p: unquote(strip_blanks(p)))
+    plain = F.transform(F.split(_mark(field, ordered), _MARK_CLASS, -1), strip_blanks)
+    return F.filter(F.when(_quotes(field), quoted).otherwise(plain), lambda p: p != "")
 
 
 def explode_packed(

@@ -29,7 +29,7 @@ def test_nothing_comes_out(spark):
 
 
 def test_links_marks_and_blanks(spark):
-    line = "﻿ " + json.dumps({"docs": [{"load": {"a": None}}, {"load": {"a": 1}}, {"load": None, "x": 1}]}) + "\r\n"
+    line = "\uFEFF " + json.dumps({"docs": [{"load": {"a": None}}, {"load": {"a": 1}}, {"load": None, "x": 1}]}) + "\r\n"
     assert _children(spark, [line]) == [(0, "docs", 0), (0, "docs", 1), (0, "docs", 2), (0, "loads", 1)]
 
 

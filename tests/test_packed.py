@@ -6,11 +6,11 @@ from sievemill.operators import packed
 CELLS = [
     (1, "k1", "ANA MARIA SILVA; JOSE DE SOUZA X BANCO DO SUL S/A"),
     (2, "k1", '"ANA MARIA SILVA"|JOSE DE SOUZA VS BANCO DO SUL S/A,'),
-    (3, "k1", "ANA MARIA SILVA / JOSE DE SOUZA\tX BANCO DO SUL S/A"),
+    (3, "k1", "ANA MARIA SILVA / JOSE DE SOUZA\tX\u00A0BANCO DO SUL S/A"),
     (4, "k2", "LIMA E CIA X. TRANSPORTES S/A x 'SILVA; PRADO ADVOGADOS'"),
     (5, "k2", '"LIMA E CIA X. TRANSPORTES S/A" VS "SILVA; PRADO ADVOGADOS"'),
     (6, "k3", '"CASA ""BOA VISTA"" LTDA, FILIAL"\nRUI D\'AVILA X PEDRO LIMA'),
-    (7, "k4", None), (8, "k4", ""), (9, "k4", "  \t"), (10, "k5", "SO UM NOME"), (10, "k5", "SO UM NOME"),
+    (7, "k4", None), (8, "k4", ""), (9, "k4", " \u00A0\t"), (10, "k5", "SO UM NOME"), (10, "k5", "SO UM NOME"),
     (11, "k6", ";; ,| MARIA LIMA ; ,"),
 ]
 WANT = {

@@ -8,7 +8,7 @@ def one(spark, expr):
 
 
 def test_text(spark):
-    assert one(spark, S.squash(F.lit("  a  \n b﻿ "))) == "a b"
+    assert one(spark, S.squash(F.lit("  a  \n b\uFEFF "))) == "a b"
     assert one(spark, S.joined_lines(F.lit(" a \n\n b c \n"))) == "a; b c"
     assert one(spark, S.decode_latin1_query(F.lit("Inspe%E7%E3o+x%zz%"))) == "Inspeção x%zz%"
     assert one(spark, S.extract_token(F.lit("f('/LISTVIEW.seam?CA=abc123')"))) == "abc123"
