@@ -23,12 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemill.llm.lookalike import LOOKALIKES, plain_fold
+from sievemill.llm.lookalike import LOOKALIKES, UNUSUAL, plain_fold
 from sievemill.session import cut
 
 _MARKUP = re.compile(r"</?[A-Za-z][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
+_UNUSUAL = re.compile(UNUSUAL)
+_MARKS = re.compile("[\u0300-\u036f]+")
 _FOREIGN = str.maketrans(LOOKALIKES)
+_ABROAD = re.compile("[\u0370-\u058f]")
+#: Windows walked at a time, so that their arrays stay in a core's cache.
+_SLICE = 1 << 15
 
 
 def words_of(text: str | None) -> list[str]:
@@ -40,23 +45,32 @@ def words_of(text: str | None) -> list[str]:
     if text is None:
         return []
     if not text.isascii():
-        text = plain_fold(text)
-        text = unicodedata.normalize("NFKD", text).translate(_FOREIGN)
-        text = "".join(c for c in text if c.isascii() or not unicodedata.combining(c))
-    return _WORD.findall(_MARKUP.sub(" ", text).casefold())
-
-
-def word_codes(words: list[str], memo: dict[str, int]) -> np.ndarray:
-    """A 64-bit code per word; equal words have equal codes in every process."""
-    out = np.empty(len(words), dtype=np.uint64)
-    for i, w in enumerate(words):
-        code = memo.get(w)
-        if code is None:
-            if len(memo) > 500_000:
-                memo.clear()
-            code = memo[w] = xxhash.xxh64_intdigest(w)
-        out[i] = code
-    return out
+        unusual = _UNUSUAL.search(text) is not None
+        if unusual:
+            text = plain_fold(text)
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+        if unusual:
+            if _ABROAD.search(text):
+                text = text.translate(_FOREIGN)
+            text = "".join(c for c in text if c.isascii() or not unicodedata.combining(c))
+    if "<" in text:
+        text = _MARKUP.sub(" ", text)
+    return _WORD.findall(text.casefold())
+
+
+class _Codes(dict):
+    """A 64-bit code per word, the same in every process."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
+
+
+def word_codes(words: list[str], memo: _Codes) -> np.ndarray:
+    """The codes of a list of words."""
+    return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,32 +79,39 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def cgk_buckets(codes: np.ndarray, width: int, repetition: int, sample: int) -> np.ndarray:
-    """The bucket of each window of ``width`` words, as int64.
+def cgk_buckets(codes: np.ndarray, width: int, repetition: int, sample: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """The buckets of the windows of ``width`` words, as int64.
 
-    The walk has three times ``width`` steps; past the end of the window it
-    stands on a pad. ``sample`` positions of the walk make the bucket. All
-    random choices follow from the repetition's number.
+    Windows begin at ``starts``, by default at every word that has a whole
+    window after it. The walk has three times ``width`` steps; past the end of
+    the window it stands on a pad. ``sample`` positions of the walk make the
+    bucket. All random choices follow from the repetition's number.
     """
-    n = len(codes) - width + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.int64)
+    if starts is None:
+        starts = np.arange(max(0, len(codes) - width + 1))
     steps = 3 * width
     rng = np.random.default_rng(7919 * repetition + width)
     salts = rng.integers(0, 2**63, size=steps, dtype=np.int64).astype(np.uint64)
     kept = np.zeros(steps, dtype=bool)
     kept[rng.choice(steps, size=min(sample, steps), replace=False)] = True
-    start = np.arange(n)
-    moved = np.zeros(n, dtype=np.int64)
-    bucket = np.full(n, repetition, dtype=np.uint64)
+    last = int(np.nonzero(kept)[0][-1]) + 1
+    padded = np.append(codes, np.zeros(1, dtype=np.uint64))
+    out = np.empty(len(starts), dtype=np.int64)
     with np.errstate(over="ignore"):
-        for j in range(steps):
-            inside = moved < width
-            at = np.where(inside, codes[np.minimum(start + moved, len(codes) - 1)], np.uint64(0))
-            if kept[j]:
-                bucket = _mix(bucket * np.uint64(31) + at)
-            moved += ((_mix(at ^ salts[j]) >> np.uint64(40)) & np.uint64(1)).astype(np.int64) & inside
-    return bucket.view(np.int64)
+        for lo in range(0, len(starts), _SLICE):
+            at = starts[lo : lo + _SLICE].copy()
+            end = at + width
+            bucket = np.full(len(at), repetition, dtype=np.uint64)
+            for j in range(last):
+                inside = at < end
+                word = padded[np.minimum(at, len(codes))]
+                word[~inside] = 0
+                if kept[j]:
+                    bucket = _mix(bucket * np.uint64(31) + word)
+                # The walk's random bit: one multiplication mixes the word's code with the step's salt.
+                at += (((word ^ salts[j]) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype(np.int64) & inside
+            out[lo : lo + _SLICE] = bucket.view(np.int64)
+    return out
 
 
 def repetitions_for(max_edits: int, target_recall: float, width: int, sample: int) -> int:
@@ -127,36 +148,51 @@ def edit_distance_within(a: list[str], b: list[str], limit: int) -> bool:
 
 
 def _windows(id_name: str, width: int, repetitions: int, sample: int, wanted):
-    """A mapInPandas function: (id, text) -> (id, bucket, window)."""
+    """A mapInPandas function: (id, text) -> (id, bucket, window).
+
+    The texts of a batch are walked together, in runs of about a million
+    words; a window never crosses from one text to another.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, int] = {}
+        memo = _Codes()
         only = wanted.value if wanted is not None else None
+
+        def walk(ids: list, texts: list[list[str]]) -> pd.DataFrame:
+            sizes = np.array([len(w) for w in texts], dtype=np.int64)
+            words = [w for t in texts for w in t]
+            codes = word_codes(words, memo)
+            owner = np.repeat(np.arange(len(texts)), sizes)
+            place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            starts = np.nonzero(place <= np.repeat(sizes, sizes) - width)[0]
+            seen: set[tuple[int, int, str]] = set()
+            for r in range(repetitions):
+                found = cgk_buckets(codes, width, r, sample, starts)
+                if only is None:
+                    hits = np.arange(len(found))
+                elif len(only):
+                    hits = np.nonzero(only[np.minimum(np.searchsorted(only, found), len(only) - 1)] == found)[0]
+                else:
+                    hits = np.empty(0, dtype=np.int64)
+                for k in hits:
+                    at = int(starts[k])
+                    seen.add((int(owner[at]), int(found[k]), " ".join(words[at : at + width])))
+            rows = sorted(seen)
+            return pd.DataFrame({id_name: [ids[o] for o, _, _ in rows], "bucket": [b for _, b, _ in rows], "window": [w for _, _, w in rows]})
+
         for batch in batches:
-            ids, buckets, windows = [], [], []
+            ids, texts, held = [], [], 0
             for i, text in zip(batch[id_name], batch["text"], strict=True):
                 words = words_of(text)
-                codes = word_codes(words, memo)
-                seen = set()
-                for r in range(repetitions):
-                    found = cgk_buckets(codes, width, r, sample)
-                    if only is None:
-                        hits = np.arange(len(found))
-                    else:
-                        spot = np.minimum(np.searchsorted(only, found), len(only) - 1) if len(only) else np.zeros(len(found), dtype=int)
-                        hits = np.nonzero(only[spot] == found)[0] if len(only) else np.empty(0, dtype=int)
-                    for k in hits:
-                        b = int(found[k])
-                        w = " ".join(words[k : k + width])
-                        if (b, w) not in seen:
-                            seen.add((b, w))
-                            ids.append(i)
-                            buckets.append(b)
-                            windows.append(w)
-                if len(ids) >= 50_000:
-                    yield pd.DataFrame({id_name: ids, "bucket": buckets, "window": windows})
-                    ids, buckets, windows = [], [], []
-            yield pd.DataFrame({id_name: ids, "bucket": buckets, "window": windows})
+                if len(words) >= width:
+                    ids.append(i)
+                    texts.append(words)
+                    held += len(words)
+                if held >= 1_000_000:
+                    yield walk(ids, texts)
+                    ids, texts, held = [], [], 0
+            if ids:
+                yield walk(ids, texts)
 
     return run
 

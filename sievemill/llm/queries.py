@@ -109,8 +109,8 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_near(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents and items with windows of 13 words at most two edits apart."""
-    found = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"), "doc_id", "item_id", "text", "text", width=13, max_edits=2)
+    """Documents and items with windows of 13 words at most one edit apart."""
+    found = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"), "doc_id", "item_id", "text", "text", width=13, max_edits=1)
     return found.select("doc_id", "item_id", "windows", "least_edits")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sievemill.llm import lookalike as K
 
 BASE = "A parte requereu a anexação, art. 5º do código - fim"
-SAME = [BASE, BASE.replace("parte", "pаrte"), BASE.replace("requereu", "ｒｅｑｕｅｒｅｕ"), BASE.replace("çã", "çã"), BASE.replace(" ", " "), BASE.replace("-", "‑"), BASE.replace("fim", "f​im"), BASE.replace(" a ", " а ")]
+SAME = [BASE, BASE.replace("parte", "pаrte"), BASE.replace("requereu", "ｒｅｑｕｅｒｅｕ"), BASE.replace("çã", "çã"), BASE.replace(" ", " "), BASE.replace("-", "‑"), BASE.replace("fim", "f\u200Bim"), BASE.replace(" a ", " а ")]
 OTHER = [BASE.replace("º", "o"), BASE.replace("ã", "a"), BASE.lower(), BASE.replace("5", "6"), "Иван в Мурме", "λέξη δίκη", "裁判所 通知", "", "-", " ", "m² de", "m2 de", None]
 
 
