@@ -48,7 +48,7 @@ _SCHEMA = T.StructType([
 ])
 
 
-_HOLLOW = re.compile("[\x80-\xa0\xad]")
+_HOLLOW = re.compile("[\x80-\x9f\xad]")
 
 
 def _byte_tables() -> dict[str, tuple[dict[str, str], dict[str, str]]]:
@@ -115,6 +115,7 @@ def _recase_all(text: str) -> str:
 
 
 def _lower_all(text: str) -> str:
+    text = text.replace("\u039c", "\xb5")  # the capital of the micro sign
     return "".join(c if c < "\x80" or c in "\xc3\xc2\xc5" or len(c.lower()) > 1 or c.lower() < "\x80" else c.lower() for c in text)
 
 
@@ -187,9 +188,15 @@ class Plausibility:
             elif known:
                 bits += math.log2(self.total / known) + 10
             else:
-                bits += math.log2(self.total) + 14
-            if c == "�" or "\x80" <= c <= "\x9f":
+                bits += math.log2(self.total) + 20
+            if c == "\ufffd" or "\x80" <= c <= "\x9f" or "\u2500" <= c <= "\u257f":
                 bits += 20
+            left, right = text[i - 1 : i], text[i + 1 : i + 2]
+            if left.isalpha() and right.isalpha():
+                if not c.isalpha():
+                    bits += 12  # a sign within a word
+                elif left.isascii() and (left.islower() and text[i].isupper() or left.isupper() and text[i].islower() and right.isascii() and right.isupper()):
+                    bits += 8  # a letter of the other case within a word
         if "&" in text or "%" in text or "\\" in text:
             bits += 12 * len(re.findall(r"&#?\w+;|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}", text))
         return bits
@@ -219,7 +226,9 @@ def search(text: str, model: Plausibility, max_depth: int = 4, slack: float = 16
                 continue
             seen.add(key)
             cost = spent + price
-            all_in = model.cost(new) + cost
+            # A blank that wasn't there before is dear: letters don't come from blanks.
+            blanks = new.count("\xa0") - text.count("\xa0")
+            all_in = model.cost(new) + cost + (16 * blanks if blanks > 0 else 0)
             order += 1
             if all_in < best[0]:
                 best = (all_in, new, " ".join((*path, name)))
@@ -243,6 +252,9 @@ def judge(text: str | None, model: Plausibility, margin: float = MARGIN) -> tupl
         return False, text, True, ""
     start = model.cost(text)
     fixed, cost, steps = search(text, model)
+    if fixed != text and cost > 25.0:
+        # Better, but still odd: look farther, past dearer texts on the way.
+        fixed, cost, steps = search(text, model, slack=40.0)
     if "case" in steps:
         fixed = _smooth_case(fixed)
     damaged = fixed != text and start - cost > margin
