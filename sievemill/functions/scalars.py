@@ -199,3 +199,20 @@ def download_url(base: Column, ref: Column) -> Column:
     fields = ["idBin", "numeroDocumento", "nomeArqProcDocBin", "idProcessoDocumento", "actionMethod"]
     pairs = [F.concat(F.lit(f"{f}="), F.url_encode(ref.getField(f))) for f in fields]
     return F.concat(base, F.lit("?"), F.concat_ws("&", *pairs))
+
+
+def search_fields(start: Column, end: Column, class_id: Column, class_name: Column, party: Column, names: list[str]) -> Column:
+    """A window as the ordered fields of a search form: start, end, class id, class name, filter.
+
+    Dates take the form's spelling. Empty fields travel as empty strings. A
+    class counts only with both id and name, since the source ignores a half
+    one silently.
+    """
+    both = class_id.isNotNull() & class_name.isNotNull()
+    values = [to_form_date(start), to_form_date(end), F.when(both, class_id), F.when(both, class_name), party]
+    return F.array(*(F.struct(F.lit(n).alias("name"), F.coalesce(v, F.lit("")).alias("value")) for n, v in zip(names, values, strict=True)))
+
+
+def listed_numbers(rows: Column) -> Column:
+    """What a progress record keeps of an event's rows: their numbers."""
+    return F.transform(rows, lambda r: r["number"])

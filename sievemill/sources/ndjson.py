@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-class ParseError(ValueError):
-    """A log holds an unreadable line that isn't its last one."""
+from sievemill.errors import ParseError
 
 
 def read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:

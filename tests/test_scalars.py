@@ -66,3 +66,20 @@ def test_party_line(spark):
     p = one(spark, S.party_line(F.lit("PERSON ONE - OAB ZZ123A - CPF: 000.000.000-00 (ROLE)"), F.lit("Ativo")))
     assert (p.name, p.role, p.document.kind, p.document.value, p.oab, p.status) == ("PERSON ONE", "ROLE", "CPF", "000.000.000-00", "ZZ123A", "Ativo")
     assert one(spark, S.party_line(F.lit("  "), F.lit(""))) is None
+
+
+def test_form_fields_and_progress(spark):
+    null = F.lit(None).cast("string")
+    names = ["de", "ate", "id", "nome", "parte"]
+    got = one(spark, S.search_fields(F.lit("2025-03-11"), F.lit("2025-03-12"), F.lit("7"), null, F.lit("DA S"), names))
+    assert [(f.name, f.value) for f in got] == [("de", "11/03/2025"), ("ate", "12/03/2025"), ("id", ""), ("nome", ""), ("parte", "DA S")]
+    rows = F.array(F.struct(F.lit("n1").alias("number"), F.lit(1).alias("x")))
+    assert one(spark, S.listed_numbers(rows)) == ["n1"]
+
+
+def test_errors():
+    from sievemill import errors
+
+    assert errors.RejectedQuery("no").describe() == "RejectedQuery: no" and not errors.RejectedQuery.retryable
+    assert errors.RateLimited.retryable and errors.RunAborted("x", {"windows": 1}).summary == {"windows": 1}
+    assert issubclass(errors.ParseError, ValueError)
