@@ -147,11 +147,33 @@ def edit_distance_within(a: list[str], b: list[str], limit: int) -> bool:
     return before[-1] <= limit
 
 
+def edits_within(a: list[str], b: list[str], limit: int) -> int | None:
+    """The edit distance of two word lists, None if it is beyond ``limit`` (exact).
+
+    Equal ends are dropped first; what remains is tried by the first word of either side.
+    """
+    low, end_a, end_b = 0, len(a), len(b)
+    while low < end_a and low < end_b and a[low] == b[low]:
+        low += 1
+    while low < end_a and low < end_b and a[end_a - 1] == b[end_b - 1]:
+        end_a, end_b = end_a - 1, end_b - 1
+    if low == end_a or low == end_b:
+        d = max(end_a, end_b) - low
+        return d if d <= limit else None
+    # One edit changes at most one word of either side.
+    if limit == 0 or abs(end_a - end_b) > limit or len(set(a[low:end_a]) ^ set(b[low:end_b])) > 2 * limit:
+        return None
+    x, y = a[low:end_a], b[low:end_b]
+    rests = (edits_within(v, w, limit - 1) for v, w in ((x[1:], y[1:]), (x[1:], y), (x, y[1:])))
+    return min((1 + d for d in rests if d is not None), default=None)
+
+
 def _windows(id_name: str, width: int, repetitions: int, sample: int, wanted):
-    """A mapInPandas function: (id, text) -> (id, bucket, window).
+    """A mapInPandas function: (id, text) -> (id, window, buckets).
 
     The texts of a batch are walked together, in runs of about a million
-    words; a window never crosses from one text to another.
+    words over all repetitions; a window never crosses from one text to
+    another. Equal windows of a run have equal walks and are walked once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,20 +187,27 @@ def _windows(id_name: str, width: int, repetitions: int, sample: int, wanted):
             owner = np.repeat(np.arange(len(texts)), sizes)
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             starts = np.nonzero(place <= np.repeat(sizes, sizes) - width)[0]
-            seen: set[tuple[int, int, str]] = set()
+            same = np.zeros(len(starts), dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                for j in range(width):
+                    same = _mix(same * np.uint64(31) + codes[starts + j])
+            _, first, which = np.unique(same, return_index=True, return_inverse=True)
+            met: dict[int, list[int]] = {}
             for r in range(repetitions):
-                found = cgk_buckets(codes, width, r, sample, starts)
+                found = cgk_buckets(codes, width, r, sample, starts[first])
                 if only is None:
                     hits = np.arange(len(found))
                 elif len(only):
                     hits = np.nonzero(only[np.minimum(np.searchsorted(only, found), len(only) - 1)] == found)[0]
                 else:
                     hits = np.empty(0, dtype=np.int64)
-                for k in hits:
-                    at = int(starts[k])
-                    seen.add((int(owner[at]), int(found[k]), " ".join(words[at : at + width])))
-            rows = sorted(seen)
-            return pd.DataFrame({id_name: [ids[o] for o, _, _ in rows], "bucket": [b for _, b, _ in rows], "window": [w for _, _, w in rows]})
+                for k, bucket in zip(hits.tolist(), found[hits].tolist(), strict=True):
+                    met.setdefault(k, []).append(bucket)
+            of_run = {k: " ".join(words[starts[first[k]] : starts[first[k]] + width]) for k in met}
+            hit = np.zeros(len(first), dtype=bool)
+            hit[list(met)] = True
+            rows = sorted({(int(owner[starts[n]]), int(which[n])) for n in np.nonzero(hit[which])[0]})
+            return pd.DataFrame({id_name: [ids[o] for o, _ in rows], "window": [of_run[k] for _, k in rows], "buckets": [met[k] for _, k in rows]}, dtype=object)
 
         for batch in batches:
             ids, texts, held = [], [], 0
@@ -188,7 +217,7 @@ def _windows(id_name: str, width: int, repetitions: int, sample: int, wanted):
                     ids.append(i)
                     texts.append(words)
                     held += len(words)
-                if held >= 1_000_000:
+                if held >= max(_SLICE, 1_000_000 // repetitions):
                     yield walk(ids, texts)
                     ids, texts, held = [], [], 0
             if ids:
@@ -221,35 +250,36 @@ def leaks(
     repetitions = repetitions_for(max_edits, target_recall, width, sample)
 
     def schema(name: str, kind: T.DataType) -> T.StructType:
-        return T.StructType([T.StructField(name, kind), T.StructField("bucket", T.LongType()), T.StructField("window", T.StringType())])
+        return T.StructType([T.StructField(name, kind), T.StructField("window", T.StringType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
 
     named = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("text is not null")
     item_windows = cut(named.mapInPandas(_windows("item", width, repetitions, sample, None), schema("item", named.schema["item"].dataType)))
-    buckets = item_windows.select("bucket").distinct()
+    buckets = item_windows.select(F.explode("buckets").alias("bucket")).distinct()
     wanted = None
     if buckets.limit(most_shared + 1).count() <= most_shared:
-        array = np.sort(np.array([r[0] for r in buckets.collect()], dtype=np.int64))
+        array = np.sort(buckets.toArrow().column("bucket").to_numpy())
         wanted = spark.sparkContext.broadcast(array)
     texts = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text")).where(F.length("text") >= 2 * width - 1)
     doc_windows = texts.mapInPandas(_windows("doc", width, repetitions, sample, wanted), schema("doc", texts.schema["doc"].dataType))
     other = item_windows.withColumnRenamed("window", "item_window")
-    met = doc_windows.join(other, "bucket")
     if max_edits == 0:
+        one = F.col("buckets")[0].alias("bucket")
+        met = doc_windows.select("doc", "window", one).join(other.select("item", "item_window", one), "bucket")
         checked = met.where("window = item_window").withColumn("edits", F.lit(0))
     else:
 
         @F.pandas_udf("int")
         def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-            memo: dict[tuple[str, str], int | None] = {}
-
-            def one(x: str, y: str) -> int | None:
-                if (x, y) not in memo:
-                    xs, ys = x.split(" "), y.split(" ")
-                    memo[x, y] = next((k for k in range(max_edits + 1) if edit_distance_within(xs, ys, k)), None)
-                return memo[x, y]
-
-            return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
-
-        checked = met.withColumn("edits", distance("window", "item_window")).where("edits is not null")
+            return pd.Series([edits_within(x.split(" "), y.split(" "), max_edits) for x, y in zip(a, b, strict=True)], dtype="Int32")
+
+        # Spark filters by the distance before equal pairs are dropped, so that only near pairs are shuffled. The windows are far larger
+        # than the texts Spark estimates them by, so none of these joins may be broadcast.
+        doc_windows = cut(doc_windows)
+        met = doc_windows.dropDuplicates(["window"]).select("window", F.explode("buckets").alias("bucket")).join(
+            other.dropDuplicates(["item_window"]).select("item_window", F.explode("buckets").alias("bucket")).hint("merge"), "bucket"
+        )
+        near = met.select("window", "item_window").distinct().withColumn("edits", distance("window", "item_window")).where("edits is not null")
+        of_items = near.join(other.select("item", "item_window").distinct().hint("merge"), "item_window").groupBy("window", "item").agg(F.min("edits").alias("edits"))
+        checked = doc_windows.select("doc", "window").distinct().join(of_items.hint("merge"), "window")
     found = checked.groupBy(F.col("doc").alias(doc_id), F.col("item").alias(item_id)).agg(F.count_distinct("window").alias("windows"), F.min("edits").alias("least_edits"))
     return found

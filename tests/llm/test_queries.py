@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from test_entry import compare
 
@@ -33,3 +35,29 @@ def test_columns(spark, data):
         assert df.columns == columns
         rows = df.collect()
         assert len(rows) == len(set(rows)) > 0
+
+
+def test_near_windows_are_two_edits_apart(spark, tmp_path):
+    items = [(k, " ".join(f"w{k}x{n}" for n in range(13))) for k in range(40)]
+    docs = []
+    for k, text in items:
+        w = text.split()
+        if k % 2:
+            w[3] = w[9] = "changed"
+        else:
+            w.insert(6, "inserted")  # 13 of these 14 words are two edits from the item
+        docs.append((k, " ".join(["pad"] * 5 + w + ["pad"] * 5)))
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    got = {(r.doc_id, r.item_id): r.least_edits for r in queries.p9_near(spark, str(tmp_path)).collect()}
+    assert all(a == b and e == 2 for (a, b), e in got.items())
+    assert len(got) >= 36
+
+
+def test_edits_within():
+    rnd = random.Random(3)
+    for _ in range(2000):
+        a, b = ([rnd.choice("ab") for _ in range(rnd.randint(0, 7))] for _ in range(2))
+        limit = rnd.randint(0, 3)
+        want = next((k for k in range(limit + 1) if leakage.edit_distance_within(a, b, k)), None)
+        assert leakage.edits_within(a, b, limit) == want
