@@ -238,8 +238,8 @@ def _skeleton(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub(r"[AEIOUYHC?\uFFFD]", "", word))
 
 
-def block_keys(n: Name, counts: dict[str, int], common: float) -> list[str]:
-    """The blocks of a spelling: pairs of words, one of them not common.
+def block_keys(n: Name, counts: dict[str, int]) -> list[str]:
+    """The blocks of a spelling: all pairs of words, however frequent.
 
     Short forms of given names also stand for the names. For the two rarest
     words there are also pairs with one letter left out of either, so that a
@@ -250,8 +250,7 @@ def block_keys(n: Name, counts: dict[str, int], common: float) -> list[str]:
     out = set()
     for i, a in enumerate(words):
         for b in words[i + 1 :]:
-            if min(counts.get(a, 1), counts.get(b, 1)) <= common:
-                out |= {f"{min(x, y)} {max(x, y)}" for x in (a, *NICKNAMES.get(a, ())) for y in (b, *NICKNAMES.get(b, ()))}
+            out |= {f"{min(x, y)} {max(x, y)}" for x in (a, *NICKNAMES.get(a, ())) for y in (b, *NICKNAMES.get(b, ()))}
     if len(n.words) == 2 and len(n.words[0]) == 2:
         out |= {f"{min(x, n.words[1])} {max(x, n.words[1])}" for x in NICKNAMES.get(n.words[0], ())}
     if len(words) >= 2:
@@ -342,8 +341,6 @@ def attribute(keyed: DataFrame) -> DataFrame:
     them: no block is capped. The best parent over all blocks holds.
     """
     forms = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
-    total = forms.agg(F.sum("n").alias("t")).first()["t"] or 0
-    common = max(50, 0.002 * total)
     words = forms.select("key", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
     counted = words.join(words.groupBy("word").agg(F.sum("n").alias("c")), "word")
     listed = counted.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"))
@@ -353,7 +350,7 @@ def attribute(keyed: DataFrame) -> DataFrame:
     def blocks(lines: pd.Series) -> pd.Series:
         def one(line: str) -> list[str]:
             key, _, counts = _counted(line)
-            return block_keys(from_key(key), counts, common)
+            return block_keys(from_key(key), counts)
 
         return lines.map(one)
 
@@ -372,7 +369,7 @@ def attribute(keyed: DataFrame) -> DataFrame:
                 for child, parent, score in best_parents([_counted(x) for x in members]):
                     if child not in best or (score, parent) > best[child]:
                         best[child] = (score, parent)
-            yield pd.DataFrame({"child": list(best), "score": [v[0] for v in best.values()], "parent": [v[1] for v in best.values()]})
+            yield pd.DataFrame({"child": list(best), "score": [v[0] for v in best.values()], "parent": [v[1] for v in best.values()]}, dtype=object)
 
     offers = groups.mapInPandas(compare, "child string, score double, parent string")
     parents = offers.groupBy("child").agg(F.max(F.struct("score", "parent")).alias("b")).select("child", "b.parent")

@@ -57,3 +57,16 @@ def test_registration(spark):
     df = spark.createDataFrame([("OAB/AL 1.014-A",), ("rn nº 070442",), ("575925A/RN",), ("",), (None,), ("nothing",)], "o string")
     got = [r.r and (r.r.state, r.r.num) for r in df.select(N.registration(F.col("o")).alias("r")).collect()]
     assert got == [("AL", "1014"), ("RN", "70442"), ("RN", "575925"), None, None, None]
+
+
+def test_abbreviation_of_a_hot_name(spark):
+    hot = [(k, "LUCIA INACIO VENNELAMEDO MONLADOREDO", None, None) for k in range(200)]
+    other = [(1000 + k, f"LUCIA INACIO {chr(65 + k % 26)}ALT{chr(65 + k // 26)}URAO", None, None) for k in range(100)]
+    got = _entities(spark, [*hot, *other, (900, "LUCIA INACIO V. MONLADOREDO", None, None)])
+    assert [*range(200), 900] in got
+
+
+def test_words_of_frequent_names_make_pairs():
+    name = N.parse("LUCIA INACIO VENNELAMEDO MONLADOREDO")
+    keys = N.block_keys(name, dict.fromkeys(name.words, 50_000))
+    assert {"LUCIA MONLADOREDO", "INACIO LUCIA", "INACIO MONLADOREDO"} <= set(keys)
