@@ -89,7 +89,14 @@ class EqualityDeleteTable:
         return newest.join(gone, same & (F.col("d.__del_sn") > F.col("u.__sn")), "left_anti").select("row.*")
 
     def compact(self, batch: int, target: str) -> "EqualityDeleteTable":
-        """Write the current rows as the only batch of a new table at ``target``."""
+        """Write the current rows as the only batch of a new table at ``target``.
+
+        The newest delete of each key goes with them, so that an older change
+        that arrives later doesn't bring the key back.
+        """
         compacted = EqualityDeleteTable(self.spark, target, self.key, self.order, self.arrival)
         compacted.append(batch, self.read(), F.lit(False))
+        deletes = self.spark.read.parquet(f"{self.path}/deletes")
+        newest = deletes.groupBy(*self.key).agg(F.max(F.struct(*self.order)).alias("__sn")).select(*self.key, "__sn.*")
+        newest.write.mode("overwrite").parquet(f"{target}/deletes/batch={batch}")
         return compacted

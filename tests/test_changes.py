@@ -48,3 +48,15 @@ def test_equality_delete_table(spark, tmp_path):
     t.append(1, spark.createDataFrame(one, SCHEMA), F.col("kind") == "success")  # written again: counted once
     assert rows(t.read().select("k", "seq")) == [("b", 2), ("c", 5)]
     assert rows(t.compact(0, str(tmp_path / "u")).read().select("k")) == [("b",), ("c",)]
+
+
+def test_compacted_deletes_hold_against_late_changes(spark, tmp_path):
+    t = changes.EqualityDeleteTable(spark, str(tmp_path / "t"), ["k"], ["at"], "seq")
+    first = [("a", "failure", 1, 1, 1), ("a", "success", 5, None, 2), ("a", "success", 3, None, 3), ("b", "failure", 2, 1, 4), (None, "success", 5, None, 5)]
+    t.append(1, spark.createDataFrame(first, SCHEMA), F.col("kind") == "success")
+    u = t.compact(1, str(tmp_path / "u"))
+    late = [("a", "failure", 4, 1, 6), (None, "failure", 4, 1, 7), ("c", "failure", 1, 1, 8)]
+    u.append(2, spark.createDataFrame(late, SCHEMA), F.col("kind") == "success")
+    assert rows(u.read().select("k")) == [("b",), ("c",)]
+    u.append(3, spark.createDataFrame([("a", "failure", 6, 1, 9)], SCHEMA), F.col("kind") == "success")
+    assert rows(u.read().select("k")) == [("a",), ("b",), ("c",)]
