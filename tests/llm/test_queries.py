@@ -1,5 +1,3 @@
-import random
-
 import pytest
 from test_entry import compare
 
@@ -52,12 +50,3 @@ def test_near_windows_are_two_edits_apart(spark, tmp_path):
     got = {(r.doc_id, r.item_id): r.least_edits for r in queries.p9_near(spark, str(tmp_path)).collect()}
     assert all(a == b and e == 2 for (a, b), e in got.items())
     assert len(got) >= 36
-
-
-def test_edits_within():
-    rnd = random.Random(3)
-    for _ in range(2000):
-        a, b = ([rnd.choice("ab") for _ in range(rnd.randint(0, 7))] for _ in range(2))
-        limit = rnd.randint(0, 3)
-        want = next((k for k in range(limit + 1) if leakage.edit_distance_within(a, b, k)), None)
-        assert leakage.edits_within(a, b, limit) == want
