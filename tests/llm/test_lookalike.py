@@ -39,5 +39,33 @@ def test_empty(spark):
 
 
 def test_tokens():
-    assert K.needs_repair("pаrte") and K.needs_repair("ОАВ") and not K.needs_repair("Иван") and not K.needs_repair("parte")
+    assert K.repaired("pаrte") == "parte" and K.repaired("ОАВ") == "OAB" and K.repaired("Иван") is None and K.repaired("parte") is None
+    assert K.repaired("Mир") == "Мир"  # Cyrillic dominates: the Latin letter is the stranger
+    assert K.repaired("Mирλ") is None  # letters of two scripts that nothing else can show
+    assert K.repaired("nоº") == "noº"
     assert K.latin("сáѕа") == "cása"
+
+
+def test_vocabulary_decides_what_looks_the_same(spark):
+    """Each class below exists only by the repair of its tokens."""
+    docs = [
+        (1, "o tribunal"), (2, "o tribunаl"),  # Latin, repaired to a word of the corpus
+        (3, "в Мире живем"), (4, "в Mире живем"),  # repaired to the Cyrillic word
+        (5, "vеstigio"), (6, "vestigiо"), (7, "vеstigiо"),  # no Latin spelling, but several that lead to one
+        (8, "ϲάτη"), (9, "cάτη"),
+        (10, "só uma grаfia"),  # one spelling only: stays as it is
+    ]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert rows(K.same_look_pairs(df, "doc_id", "text")) == sorted([(1, 2), (3, 4), (5, 6), (5, 7), (6, 7), (8, 9)], key=repr)
+    got = {r.doc_id: r.canonical for r in K.canonical_texts(df, "text", ["doc_id"]).collect()}
+    assert got[2] == "o tribunal" and got[4] == docs[2][1] and got[5] == got[6] == got[7] == "vestigio" and got[10] == docs[-1][1]
+
+
+def test_hot_copies_and_many_batches(spark, monkeypatch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        docs = [(k, "a mesma pаrte") for k in range(60)] + [(100 + k, f"texto {k} da parte") for k in range(40)] + [(200, "a mesma parte")]
+        df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("doc", F.lit("clash")).withColumn("t", F.lit(1))
+        assert rows(K.same_look_pairs(df, "doc_id", "text")) == sorted([(k, 200) for k in range(60)], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
