@@ -2,9 +2,10 @@
 
 Within a group the rows of the better class come first, then the latest. Rows
 without a timestamp are placed by currency: value transitions are learnt from
-the timestamped rows of all groups, a value that more often follows another
-than precedes it is the newer one, and of the values of a group the
-topologically latest is taken.
+the timestamped rows of all groups; a value is newer than another if the
+strongest chain of learnt transitions leads from the other to it, whatever the
+chain's length, which breaks cycles by their counts. That orders the values of
+each group in part, and the topologically latest is taken.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemill.functions.text import strip_blanks
+from sievemill.session import cut
 
 #: Stand-ins for "not given", in lower case; signs alone are no value either.
 STAND_INS = ("n/i", "n/d", "n/a", "n.i.", "n.d.", "n.a.", "não informado", "não informada", "nao informado", "nao informada", "sem informação", "sem informacao", "não consta", "nao consta", "null", "none")
-_MONTH = 30 * 86_400_000_000
+_DAY = 86_400_000_000
 
 
 def has_value(value: Column) -> Column:
@@ -32,19 +34,19 @@ def learn_precedence(rows: DataFrame, key: str, fields: list[str], at: str) -> D
 
     ``rows`` holds null where a field has no value. Counted are the changes
     between consecutive timestamped rows of a group; a pair counts in the
-    direction that is more frequent. Groups are walked month by month, and
-    the months of a group joined by their first and last values, so a group
-    may hold any share of the rows.
+    direction that is more frequent. Groups are walked day by day, and the
+    days of a group joined by their first and last values, so a group may
+    hold any share of the rows as long as no single day of it does.
     """
-    dated = rows.where(F.col(at).isNotNull()).withColumn("__month", F.floor(F.col(at) / F.lit(_MONTH)))
-    inside = Window.partitionBy(key, "__month").orderBy(at, "__arrival").rowsBetween(Window.unboundedPreceding, -1)
+    dated = rows.where(F.col(at).isNotNull()).withColumn("__day", F.floor(F.col(at) / F.lit(_DAY)))
+    inside = Window.partitionBy(key, "__day").orderBy(at, "__arrival").rowsBetween(Window.unboundedPreceding, -1)
     steps = dated.select(*(F.struct(F.last(f, ignorenulls=True).over(inside).alias("older"), F.col(f).alias("newer")).alias(f) for f in fields))
     order = F.struct(F.col(at), F.col("__arrival"))
-    edges = dated.groupBy(key, "__month").agg(
+    edges = dated.groupBy(key, "__day").agg(
         *(F.min_by(F.col(f), F.when(F.col(f).isNotNull(), order)).alias(f"{f}__a") for f in fields),
         *(F.max_by(F.col(f), F.when(F.col(f).isNotNull(), order)).alias(f"{f}__z") for f in fields),
     )
-    across = Window.partitionBy(key).orderBy("__month").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     joints = edges.select(*(F.struct(F.last(f"{f}__z", ignorenulls=True).over(across).alias("older"), F.col(f"{f}__a").alias("newer")).alias(f) for f in fields))
     pairs = steps.unionByName(joints).select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}.older").alias("older"), F.col(f"{f}.newer").alias("newer")) for f in fields))).alias("p"))
     seen = pairs.select("p.*").where("older <> newer")
@@ -57,6 +59,32 @@ def learn_precedence(rows: DataFrame, key: str, fields: list[str], at: str) -> D
     )
 
 
+def currency(precedence: DataFrame, among: DataFrame) -> DataFrame:
+    """The partial order of values: ``field, older, newer``.
+
+    The strength of a chain of learnt transitions is that of its weakest
+    transition; ``newer`` is newer than ``older`` if the strongest chain from
+    older to newer is stronger than any chain back. That relation has no
+    cycles and is transitive. Chains run through the values of ``among``
+    (``field, value``) and are found by doubling: each round joins the chains
+    known so far, so their number of steps doubles until nothing changes.
+    """
+    ends = among.select("field", "value").distinct()
+    chains = precedence.join(ends.withColumnRenamed("value", "older"), ["field", "older"], "left_semi")
+    chains = cut(chains.join(ends.withColumnRenamed("value", "newer"), ["field", "newer"], "left_semi").select("field", "older", "newer", "n"))
+    size = None
+    while True:
+        now = chains.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()
+        if now == size:
+            break
+        size = now
+        onward = chains.select("field", F.col("older").alias("newer"), F.col("newer").alias("__to"), F.col("n").alias("__n"))
+        longer = chains.join(onward, ["field", "newer"]).where("older <> __to").select("field", "older", F.col("__to").alias("newer"), F.least("n", "__n").alias("n"))
+        chains = cut(chains.unionByName(longer).groupBy("field", "older", "newer").agg(F.max("n").alias("n")))
+    back = chains.select("field", F.col("newer").alias("older"), F.col("older").alias("newer"), F.col("n").alias("__back"))
+    return chains.join(back, ["field", "older", "newer"], "left").where("__back is null or n > __back").select("field", "older", "newer")
+
+
 def best_fields(
     df: DataFrame, key: Column, fields: list[str], preferred: Column, at: Column, arrival: Column,
     valid: Callable[[Column], Column] = has_value, least_rows: int = 2,
@@ -67,10 +95,12 @@ def best_fields(
     needs ``least_rows`` rows. A field comes from the rows where it is valid:
     ``preferred`` rows first, then the latest ``at`` (microseconds), then the
     lowest ``arrival``. A value without a timestamp in the same class takes
-    the place of the latest dated one if it is learnt to be newer, directly or
-    through one value between, or if there is no dated one; among several such values the topologically
-    latest one is taken, then the lowest arrival. Fields without a valid
-    value don't come out. Repeated rows make a group but change no choice.
+    the place of the latest dated one if :func:`currency` has it as newer, or
+    if there is no dated one; of several such values one that no other of
+    them is newer than is taken, then the lowest arrival. Fields without a
+    valid value don't come out. Repeated rows make a group but change no
+    choice. The order is only learnt if some group has such values; groups
+    without them are settled by one aggregate.
     """
     rows = df.select(
         key.alias("__key"), F.coalesce(preferred, F.lit(False)).cast("int").alias("__pref"), at.alias("__at"), arrival.alias("__arrival"),
@@ -86,30 +116,27 @@ def best_fields(
         F.count(F.lit(1)).alias("__n"), *(best(f, True).alias(f"{f}__d") for f in fields), *(best(f, False).alias(f"{f}__u") for f in fields)
     ).where(F.col("__n") >= least_rows)
     long = wide.select("__key", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}__d").alias("d"), F.col(f"{f}__u").alias("u")) for f in fields))).alias("c"))
-    long = long.select("__key", "c.field", "c.d", "c.u").where("d is not null or u is not null")
+    long = cut(long.select("__key", "c.field", "c.d", "c.u").where("d is not null or u is not null"))
     dated_first = F.col("d").isNotNull() & (F.col("u").isNull() | (F.col("d.rank.__pref") > F.col("u.rank.__pref")))
-    settled = long.where(dated_first).select("__key", "field", F.col("d.value").alias("value"), (-F.col("d.rank.__neg")).alias("arrival"))
+    settled = long.where(dated_first).select(F.col("__key").alias("key"), "field", F.col("d.value").alias("value"), (-F.col("d.rank.__neg")).alias("arrival"))
     open_groups = long.where(~dated_first).select(
         "__key", "field", F.col("u.rank.__pref").alias("__pref"), F.when(F.col("d.rank.__pref") == F.col("u.rank.__pref"), F.col("d")).alias("d")
     )
-    # Only groups with undated values in their best class need the learnt order.
-    precedence = learn_precedence(rows, "__key", fields, "__at")
+    if open_groups.isEmpty():
+        return settled
     undated = rows.where("__at is null").select("__key", "__pref", "__arrival", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields))).alias("c"))
     undated = undated.select("__key", "__pref", "__arrival", "c.field", "c.value").where("value is not null")
     undated = undated.groupBy("__key", "__pref", "field", "value").agg(F.min("__arrival").alias("__arrival"))
-    candidates = undated.join(open_groups, ["__key", "field", "__pref"])
-    steps = precedence.select("field", F.col("older").alias("value"), F.col("newer").alias("__next"))
-    held = candidates.where("d is not null").select("field", F.col("d.value").alias("__dated")).distinct()
-    direct = held.withColumn("value", F.col("__dated")).join(steps, ["field", "value"]).select("field", "__dated", F.col("__next").alias("value"))
-    further = direct.join(steps, ["field", "value"]).select("field", "__dated", F.col("__next").alias("value"))
-    newer_than_dated = direct.union(further).where(~F.col("value").eqNullSafe(F.col("__dated"))).distinct().withColumn("__beats", F.lit(True))
-    rivals = candidates.withColumn("__dated", F.col("d.value")).join(newer_than_dated, ["field", "__dated", "value"], "left").where("d is null or __beats")
-    followers = rivals.select("__key", "field", "value", "__arrival").join(precedence.select("field", F.col("older").alias("value"), F.col("newer").alias("__next")), ["field", "value"])
-    surpassed = followers.join(rivals.select("__key", "field", F.col("value").alias("__next")), ["__key", "field", "__next"], "left_semi").select("__key", "field", "value").distinct()
-    marked = rivals.select("__key", "field", "value", "__arrival").join(surpassed.withColumn("__old", F.lit(1)), ["__key", "field", "value"], "left")
-    latest = marked.groupBy("__key", "field").agg(F.min_by(F.struct("value", "__arrival"), F.struct(F.coalesce("__old", F.lit(0)), F.col("__arrival"))).alias("w"))
+    candidates = cut(undated.join(open_groups, ["__key", "field", "__pref"]).select("__key", "field", "value", "__arrival", F.col("d.value").alias("__dated")))
+    among = candidates.select("field", "value").unionByName(candidates.where("__dated is not null").select("field", F.col("__dated").alias("value")))
+    order = cut(currency(learn_precedence(rows, "__key", fields, "__at"), among))
+    beats = order.select("field", F.col("older").alias("__dated"), F.col("newer").alias("value"), F.lit(True).alias("__beats"))
+    rivals = candidates.join(beats, ["field", "__dated", "value"], "left").where("__dated is null or __beats").select("__key", "field", "value", "__arrival")
+    later = rivals.join(order.select("field", F.col("older").alias("value"), F.col("newer").alias("__next")), ["field", "value"]).select("__key", "field", "value", "__next")
+    surpassed = later.join(rivals.select("__key", "field", F.col("value").alias("__next")), ["__key", "field", "__next"], "left_semi").select("__key", "field", "value").distinct()
+    latest = rivals.join(surpassed, ["__key", "field", "value"], "left_anti").groupBy("__key", "field").agg(F.min_by(F.struct("value", "__arrival"), "__arrival").alias("w"))
     chosen = open_groups.join(latest, ["__key", "field"], "left").select(
-        "__key", "field", F.coalesce(F.col("w.value"), F.col("d.value")).alias("value"),
+        F.col("__key").alias("key"), "field", F.coalesce(F.col("w.value"), F.col("d.value")).alias("value"),
         F.when(F.col("w").isNotNull(), F.col("w.__arrival")).otherwise(-F.col("d.rank.__neg")).alias("arrival"),
     )
-    return settled.unionByName(chosen).withColumnRenamed("__key", "key")
+    return settled.unionByName(chosen)

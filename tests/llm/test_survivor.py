@@ -47,3 +47,62 @@ def test_edges(spark):
     assert _best(spark, [("n", "x", None, False, 1, 1), ("n", "x", None, False, 1, 1)]) == [("n", "a", 1)]
     assert _best(spark, [(None, "x", None, False, 1, 1), (None, "x", None, False, 1, 2)]) == []
     assert _best(spark, [("n", "v" * 200_000, None, False, 1, 1), ("n", None, None, None, None, 2)]) == [("n", "a", 1)]
+
+
+def _strongest(dated):
+    """Strength of the strongest chain between any two values, by brute force over all chains."""
+    steps = {}
+    for group in dated.values():
+        values = [v for _, v in sorted(group)]
+        for a, b in zip(values, values[1:]):
+            if a != b:
+                steps[a, b] = steps.get((a, b), 0) + 1
+    s = {(a, b): n - steps.get((b, a), 0) for (a, b), n in steps.items() if n > steps.get((b, a), 0)}
+    nodes = {x for p in steps for x in p}
+    for k in nodes:
+        for a in nodes:
+            for b in nodes:
+                if a != b and (w := min(s.get((a, k), 0), s.get((k, b), 0))) > s.get((a, b), 0):
+                    s[a, b] = w
+    return s
+
+
+def test_undated_chains_equal_brute_force(spark):
+    """Groups with undated rows, long chains and cycles; without the learnt order the lowest arrival would win."""
+    rnd = random.Random(5)
+    names = "abcdefgh"
+    data, dated, seq = [], {}, 0
+    for g in range(60):
+        walk = sorted(rnd.sample(names, rnd.randint(2, 3)))
+        if g % 6 == 0:
+            walk.reverse()
+        for t, v in enumerate(walk):
+            seq += 1
+            data.append((f"g{g}", v, None, False, 10 + t, seq))
+            dated.setdefault(f"g{g}", []).append((10 + t, v))
+    want = {}
+    groups = {}
+    for g in range(80):
+        for v in rnd.sample(names, rnd.randint(2, 4)):
+            seq += 1
+            with_time = rnd.random() < 0.2 and not any(t is not None for _, t, _ in groups.get(f"u{g}", []))
+            groups.setdefault(f"u{g}", []).append((v, 50 if with_time else None, seq))
+            data.append((f"u{g}", v, None, False, 50 if with_time else None, seq))
+    s = _strongest(dated)
+    newer = lambda a, b: s.get((a, b), 0) > s.get((b, a), 0)
+    for g, members in groups.items():
+        d = next((m for m in members if m[1] is not None), None)
+        rivals = [m for m in members if m[1] is None and (d is None or newer(d[0], m[0]))]
+        top = [m for m in rivals if not any(newer(m[0], o[0]) for o in rivals)]
+        want[g] = min((m[2] for m in top), default=d and d[2])
+    got = {r[0]: r[2] for r in _best(spark, data) if r[0].startswith("u")}
+    assert got == want
+    assert any(want[g] != min(m[2] for m in ms) for g, ms in groups.items())
+
+
+def test_a_chain_of_four_values(spark):
+    pairs = [("a", "b"), ("b", "c"), ("c", "d")]
+    data = [(f"{x}{y}{k}", v, None, False, t, 10 * i + t) for i, (x, y) in enumerate(pairs) for k in range(2) for t, v in enumerate((x, y))]
+    data += [("u", "a", None, False, 9, 100), ("u", "d", None, False, None, 101), ("v", "a", None, False, None, 102), ("v", "c", None, False, None, 103), ("b-and-c", "b", None, False, 1, 104), ("b-and-c", "c", None, False, None, 105)]
+    got = {r[0]: r[2] for r in _best(spark, data)}
+    assert got["u"] == 101 and got["v"] == 103
