@@ -11,7 +11,8 @@ from sievemill.functions.text import case_number, file_path, instant_micros
 from sievemill.operators import changes, nested, packed, references
 from sievemill.session import table
 
-LISTS = ["activeParties", "passiveParties", "movements", "documents"]
+#: The levels of a record that p6_found reports, and the names it reports them by.
+LEVELS = {"activeParties": "activeparties", "passiveParties": "passiveparties", "movements": "movements", "documents": "documents", "documents.download": "downloads"}
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,19 +84,24 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return _orphans(spark, sf).groupBy("tbl", "field", "state", "month_utc").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _children(spark: SparkSession, sf: str) -> DataFrame:
+def _children(spark: SparkSession, sf: str, only: list[str] | None = None) -> DataFrame:
     lines = table(spark, sf, "case_lines").select("line_id", nested.parse_record(F.col("line")).alias("record"))
-    return nested.child_rows(lines, "line_id", "record", LISTS, {"downloads": ("documents", "download")})
+    return nested.child_rows(lines, "line_id", "record", only)
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Each object of the lists of a readable line, and each download."""
-    return _children(spark, sf).select("line_id", "child", "pos")
+    rows = _children(spark, sf, list(LEVELS))
+    names = F.create_map(*(F.lit(x) for kv in LEVELS.items() for x in kv))
+    download = F.col("path") == "documents.download"
+    # A download isn't a list: it stands at its document's place and counts if any of its fields has a value.
+    kept = rows.where(~download | (F.col("shape") == "object") & nested.has_values(F.col("element")))
+    return kept.select("line_id", names[F.col("path")].alias("child"), F.when(download, F.col("parent_ordinal")).otherwise(F.col("ordinal")).alias("pos"))
 
 
 def p6_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """The merged schema of each child over all lines."""
-    return nested.merged_schema(_children(spark, sf))
+    """Every level that occurs in the lines, with the merged schema of its rows."""
+    return nested.merged_schema(_children(spark, sf)).withColumnRenamed("path", "child")
 
 
 QUERIES = {

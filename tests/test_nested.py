@@ -1,17 +1,22 @@
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from sievemill.operators import nested
 
-LISTS = ["parties", "docs"]
+PATHS = ["parties", "docs", "docs.load"]
+
+
+def _levels(spark, lines, only=None, **more):
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "line_id bigint, line string").withColumn("path", F.lit("clash"))
+    rec = df.select("line_id", "path", nested.parse_record(F.col("line")).alias("record"))
+    return nested.child_rows(rec, "line_id", "record", only, **more)
 
 
 def _children(spark, lines):
-    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "line_id bigint, line string").withColumn("pos", F.lit("clash"))
-    rec = df.select("line_id", nested.parse_record(F.col("line")).alias("record"))
-    return rows(nested.child_rows(rec, "line_id", "record", LISTS, {"loads": ("docs", "load")}).select("line_id", "child", "pos"))
+    return rows(_levels(spark, lines, PATHS).select("line_id", "path", "ordinal"))
 
 
 def test_shapes(spark):
@@ -28,9 +33,28 @@ def test_nothing_comes_out(spark):
     assert _children(spark, lines) == []
 
 
-def test_links_marks_and_blanks(spark):
-    line = "\uFEFF " + json.dumps({"docs": [{"load": {"a": None}}, {"load": {"a": 1}}, {"load": None, "x": 1}]}) + "\r\n"
-    assert _children(spark, [line]) == [(0, "docs", 0), (0, "docs", 1), (0, "docs", 2), (0, "loads", 1)]
+def test_objects_marks_and_blanks(spark):
+    line = "\uFEFF " + json.dumps({"docs": [{"x": 0}, {"load": {"a": 1}}, {"load": json.dumps({"a": None})}, {"load": None, "x": 1}]}) + "\r\n"
+    got = _levels(spark, [line], PATHS)
+    assert rows(got.where("path = 'docs'").select("ordinal")) == [(0,), (1,), (2,), (3,)]
+    loads = got.where("path = 'docs.load'").withColumn("full", nested.has_values(F.col("element")))
+    assert rows(loads.select("shape", "parent_ordinal", "ordinal", "full")) == [("object", 1, 0, True), ("object", 2, 0, False)]
+
+
+def test_levels_are_found_in_the_data(spark):
+    """Lists nobody named, three deep, in several shapes, with keys that link each row to its parent."""
+    record = {"id": 7, "a": [{"x": 1, "b": {"items": [{"c": [{"deep": "u"}, None, {"deep": "v"}]}, {}]}}, {"x": "s", "b": json.dumps([{"y": 2}])}], "o": {"k": True}}
+    got = _levels(spark, [json.dumps(record)])
+    keys = {(r.path, r.row_id): r for r in got.collect()}
+    assert sorted(keys) == [("a", "0/a/0"), ("a", "0/a/1"), ("a.b", "0/a/0/b/0"), ("a.b", "0/a/1/b/0"), ("a.b.c", "0/a/0/b/0/c/0"), ("a.b.c", "0/a/0/b/0/c/2"), ("o", "0/o/0")]
+    for (path, _), r in keys.items():
+        assert r.parent_id == "0" if "." not in path else (path.rpartition(".")[0], r.parent_id) in keys
+    t = nested.level_tables(got, "line_id")
+    assert set(t) == {"a", "a.b", "a.b.c", "o"}
+    assert rows(t["a.b.c"]) == [(0, "0/a/0/b/0", 0, "0/a/0/b/0/c/0", "u"), (0, "0/a/0/b/0", 2, "0/a/0/b/0/c/2", "v")]
+    assert t["a"].columns == ["line_id", "parent_id", "ordinal", "row_id", "x"] and rows(t["a"].select(F.to_json(F.struct("x")))) == [('{"x":"s"}',), ('{"x":1}',)]
+    with pytest.raises(ValueError):
+        _levels(spark, [json.dumps(record)], most_levels=2)
 
 
 def test_repeats_long_and_empty(spark):
@@ -51,7 +75,5 @@ def test_flatten_tables(spark):
 
 
 def test_merged_schema(spark):
-    df = spark.createDataFrame([(1, '{"parties": [{"n": 1}, {"m": {"k": "x"}}]}')], "line_id bigint, line string")
-    rec = df.select("line_id", nested.parse_record(F.col("line")).alias("record"))
-    got = nested.merged_schema(nested.child_rows(rec, "line_id", "record", LISTS)).first()
+    got = nested.merged_schema(_levels(spark, ['{"parties": [{"n": 1}, {"m": {"k": "x"}}]}'], ["parties"])).first()
     assert "k: STRING" in got["schema"] and "n: BIGINT" in got["schema"]
