@@ -56,6 +56,8 @@ _MARK = {name: chr(0xE000 + k) for k, name in enumerate(CANDIDATES)}
 _ALL_MARKS = "".join(_MARK.values())
 _MARK_CLASS = r"[\uE000-\uE0FF]"
 
+_SHARED_SOURCES = 100_000
+
 #: A quoted span. Double quotes may open anywhere but inside a word; single
 #: quotes only where a piece can begin, since they are apostrophes too.
 _DOUBLE = r'"(?<![\p{L}\p{N}"]")(?:[^"]++|"")*+"(?![\p{L}\p{N}])'
@@ -109,7 +111,7 @@ def _value_count(signature: Column, marks: Column) -> Column:
 
 
 def infer_delimiters(
-    df: DataFrame, field: str, source: Column | None = None, group: str | None = None, least_score: float = 0.85
+    df: DataFrame, field: str, source: Column | None = None, group: str | None = None, least_score: float = 0.85, prior_rows: int = 0
 ) -> DataFrame:
     """The accepted delimiters of each source with their scores.
 
@@ -123,6 +125,10 @@ def infer_delimiters(
     the mean of regularity and whole_rows reaches ``least_score`` and leaving
     it out doesn't make more keys agree.
 
+    A source with few rows says little: its four shares are means of its own
+    and of those of all sources, the latter with the weight of ``prior_rows``
+    rows (or keys). With 0 each source stands for itself.
+
     Null and blank fields are left out, an empty input gives no rows. Counts
     are pre-aggregated per key and signature (the order of delimiters in a
     field), so one key may hold any share of the rows.
@@ -156,13 +162,10 @@ def infer_delimiters(
     scores = (
         long.where("c.s.n > 0")
         .groupBy("source_key", F.col("c.candidate").alias("candidate"), F.col("c.mark").alias("mark"))
-        .agg(
-            F.sum("c.s.n").alias("n_rows"),
-            (F.sum("c.s.r") / F.greatest(F.sum("c.s.k"), F.lit(1))).alias("regularity"),
-            (F.sum("c.s.w") / F.sum("c.s.n")).alias("whole_rows"),
-        )
-        .withColumn("fits", (F.col("regularity") + F.col("whole_rows")) / 2 >= least_score)
+        .agg(*(F.sum(f"c.s.{x}").alias(x) for x in ("n", "k", "r", "w")))
     )
+    scores = _with_prior(scores, {"regularity": ("r", "k"), "whole_rows": ("w", "n")}, "n", prior_rows)
+    scores = cut(scores.withColumnRenamed("n", "n_rows").withColumn("fits", (F.col("regularity") + F.col("whole_rows")) / 2 >= least_score))
     fitting = scores.where("fits").groupBy("source_key").agg(F.array_join(F.sort_array(F.collect_set("mark")), "").alias("marks"))
     # The signatures under all fitting delimiters, and with each left out. There are far fewer of them than rows.
     spread = keyed.where("group_key is not null").select("source_key", "group_key", "signature", "n")
@@ -183,13 +186,25 @@ def infer_delimiters(
         )
         .where("n > 1 and here")
         .groupBy("source_key", "mark")
-        .agg(F.avg(F.col("same_full").cast("double")).alias("agree_with"), F.avg(F.col("same_left").cast("double")).alias("agree_without"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("same_full").alias("full"), F.count_if("same_left").alias("left"))
     )
+    agree = _with_prior(agree, {"agree_with": ("full", "n"), "agree_without": ("left", "n")}, "n", prior_rows).select("source_key", "mark", "agree_with", "agree_without")
     out = scores.join(agree, ["source_key", "mark"], "left")
     accepted = F.col("fits") & (F.coalesce("agree_with", F.lit(1.0)) >= F.coalesce("agree_without", F.lit(0.0)))
     return out.select("source_key", "candidate", "n_rows", "regularity", "whole_rows", "agree_with", "agree_without", accepted.alias("accepted"))
 
 
+def _with_prior(counted: DataFrame, shares: dict[str, tuple[str, str]], size: str, prior: int) -> DataFrame:
+    """Shares of two counts per source and mark, drawn towards those of all sources by the weight of ``prior`` rows."""
+    share = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+    if not prior:
+        return counted.select("*", *(share(F.col(a), F.col(b)).alias(name) for name, (a, b) in shares.items()))
+    pooled = counted.groupBy(F.col("mark").alias("__m")).agg(*(share(F.sum(a), F.sum(b)).alias(f"__{name}") for name, (a, b) in shares.items()))
+    own = F.col(size) / (F.col(size) + F.lit(prior))
+    joined = counted.join(pooled, F.col("mark") == F.col("__m"))
+    return joined.select(*counted.columns, *((own * share(F.col(a), F.col(b)) + (1 - own) * F.col(f"__{name}")).alias(name) for name, (a, b) in shares.items()))
+
+
 def unquote(piece: Column) -> Column:
     """Drop enclosing quotes, halve doubled quotes inside them, trim again."""
     double = piece.rlike(r'(?s)^"(?:[^"]++|"")*+"$')
@@ -224,6 +239,7 @@ def explode_packed(
     group: str | None = None,
     out: str = "value",
     least_score: float = 0.85,
+    prior_rows: int = 0,
 ) -> DataFrame:
     """One row per value of a packed field: ``keep`` columns, ``pos``, ``out``.
 
@@ -238,7 +254,7 @@ def explode_packed(
     candidates, however many sources there are; each becomes one branch of a
     CASE, so splitting stays a JVM expression.
     """
-    model = infer_delimiters(df, field, source, group, least_score).where("accepted")
+    model = infer_delimiters(df, field, source, group, least_score, prior_rows).where("accepted")
     model = model.groupBy("source_key").agg(F.sort_array(F.collect_set("candidate")).alias("delimiters"))
     if source is None:
         names = [r["delimiters"] for r in model.collect()]
@@ -248,6 +264,9 @@ def explode_packed(
         model = cut(model)
         variants = [r["delimiters"] for r in model.select("delimiters").distinct().collect()]
         keyed = model.select(F.col("source_key").alias("__source"), F.col("delimiters").alias("__delimiters"))
+        # Up to so many sources (some 30 MB) the model goes to the rows, beyond that rows and model are shuffled.
+        if keyed.limit(_SHARED_SOURCES + 1).count() <= _SHARED_SOURCES:
+            keyed = F.broadcast(keyed)
         base = df.withColumn("__source", source.cast("string")).join(keyed, "__source", "left")
         values = split_packed(F.col(field), [])
         for names in variants:

@@ -9,7 +9,7 @@ from sievemill.functions import scalars as S
 from sievemill.operators import checks, logs
 from sievemill.plans import cascade, collection
 from sievemill.schemas import CAP
-from sievemill.session import table
+from sievemill.session import scratch, table
 from sievemill.sources import capped, pages
 
 #: Filters over the stand-in's text: two parts each, like those over names.
@@ -224,20 +224,11 @@ def _drain(query_of, spark: SparkSession) -> None:
     query.awaitTermination()
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder for a stream's output and checkpoint, in the shared folder if the session names one."""
-    import tempfile
-    import uuid
-
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="sievemill-stream-")
-
-
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The users of an event stream, each once."""
     from sievemill.streaming.streams import first_seen
 
-    at = _scratch(spark)
+    at = scratch(spark)
     out = first_seen(_stream(spark, sf).select("user_id"), ["user_id"])
     _drain(out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").outputMode("append"), spark)
     return spark.read.parquet(f"{at}/out")
@@ -248,7 +239,7 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     from sievemill.operators.changes import EqualityDeleteTable
     from sievemill.streaming.streams import upsert_into
 
-    at = _scratch(spark)
+    at = scratch(spark)
     store = EqualityDeleteTable(spark, f"{at}/table", ["user_id"], ["event_id"], "event_id")
     rows = _stream(spark, sf).select("user_id", "event_id", "event_type", "value")
     _drain(rows.writeStream.foreachBatch(upsert_into(store, "event_type = 'purchase'")).option("checkpointLocation", f"{at}/checkpoint"), spark)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +39,30 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for data that must outlive an executor: that of ``spark.checkpoint.dir``.
 
-    The folder named by ``spark.checkpoint.dir`` is used. Only where the
-    session names none (tests on one machine) a temporary folder is set.
+    Only a session on one machine (tests) may name none and gets a temporary
+    folder; on a cluster that is an error.
     """
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="sievemill-")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below :func:`shared_folder`."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in :func:`shared_folder`."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sievemill-checkpoint-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=eager)
 
 

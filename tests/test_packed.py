@@ -43,6 +43,15 @@ def test_sources_have_their_own_delimiters(spark):
     assert (100, 1, "NOME 0 DOIS, LTDA") in got
 
 
+def test_small_sources_lean_on_the_others(spark):
+    big = [(k, "a", f"g{k % 7}", f"NOME {k} UM; NOME {k} DOIS") for k in range(200)]
+    small = [(1000, "b", "h", "NOME DE UM;ZZ; NOME DE DOIS"), (1001, "b", "i", "NOME DE UM; NOME DE DOIS")]  # half of its pieces are odd
+    df = spark.createDataFrame(big + small, "seq int, src string, number string, parties string")
+    accepted = lambda prior: {r.source_key for r in packed.infer_delimiters(df, "parties", F.col("src"), "number", prior_rows=prior).where("accepted and candidate = 'semicolon'").collect()}
+    assert accepted(0) == {"a"} and accepted(100) == {"a", "b"}
+    assert packed.infer_delimiters(df.where("false"), "parties", F.col("src"), "number", prior_rows=100).count() == 0
+
+
 def test_nulls_blanks_repeats_and_positions(spark):
     df = spark.createDataFrame(CELLS, "seq int, number string, parties string").withColumn("pos", F.lit("clash")).withColumn("value", F.lit(1))
     got = rows(packed.explode_packed(df, "parties", ["seq"], group="number", out="party"))

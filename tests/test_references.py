@@ -14,6 +14,29 @@ def test_states(spark):
     assert {r.ref_key: (r.refs, r.alive) for r in states.collect()}["k1"] == (2, 0)
 
 
+def test_maintained_counts_in_any_order(spark, tmp_path):
+    """Batches of references, records and removals in every order give the same report."""
+    import itertools
+
+    frame = lambda data: spark.createDataFrame(data, "k string, at bigint").withColumn("domain", F.lit("clash")).withColumn("refs", F.lit(9))
+    k, at = F.col("k"), F.col("at")
+    batches = [
+        [R.reference_deltas("d", frame([("a", 10), ("a", 10), ("b", 10), ("c", 10), ("e", 10), (None, 1)]), k, at)],
+        [R.existence_deltas("d", frame([("b", 5), ("b", 30), ("c", 30), ("e", 1)]), k, at)],
+        [R.removal_deltas("d", frame([("b", 5), ("e", 1)]), k, at), R.reference_deltas("d", frame([("f", 7)]), k, at)],
+        [R.reference_deltas("d", frame([("f", 7)]), k, at, sign=-1)],
+    ]
+    want = [("d", "a", 10, "missing", 2), ("d", "b", 10, "late", 1), ("d", "c", 10, "late", 1), ("d", "e", 10, "deleted", 1)]
+    for n, order in enumerate(itertools.islice(itertools.permutations(range(4)), 0, 24, 7)):
+        counts = R.ReferenceCounts(spark, f"{tmp_path}/{n}")
+        for i in order:
+            counts.add(i, batches[i])
+        counts.add(order[0], batches[order[0]])  # again, as after a restart
+        assert rows(counts.orphans()) == want
+        compacted = counts.compact(f"{tmp_path}/{n}c")
+        assert rows(compacted.orphans()) == want and compacted.read().where("ref_key = 'f'").isEmpty()
+
+
 def test_empty(spark):
     refs = spark.createDataFrame([], "domain string, ref_key string, ref_at bigint")
     states = R.key_states([R.reference_deltas("d", refs, F.col("ref_key"), F.col("ref_at"))])
