@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 BLANKS = r"\s\x85\xA0\u1680\u180E\u2000-\u200B\u2028\u2029\u202F\u205F\u2060\u3000\uFEFF"
 
 
+#: The same blanks as characters.
+BLANK_CHARS = " \t\n\x0b\f\r\x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+
+
 def strip_blanks(value: Column) -> Column:
     """Trim white space of any kind at both ends."""
-    return F.regexp_replace(value, f"^[{BLANKS}]++|[{BLANKS}]++$", "")
+    return F.btrim(value, F.lit(BLANK_CHARS))
 
 
 def is_blank(value: Column) -> Column:

@@ -10,6 +10,9 @@ their position. Everything runs as JVM expressions.
 
 from __future__ import annotations
 
+import itertools
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +48,23 @@ CANDIDATES = {
     "ampersand": rf"&(?<=[{BLANKS}]&)(?=[{BLANKS}])",
     "word_e": rf"[Ee](?<=[{BLANKS}][Ee])(?=[{BLANKS}])",
 }
-#: The characters with which each candidate can begin: a field without them is passed over.
+#: The characters with which each candidate can begin: runs of others are passed in one step.
 _FIRST = {
     "semicolon": ";", "bar": "|", "newline": "\r\n", "tab": "\t", "comma": ",", "spaced_solidus": "/", "bare_solidus": "/", "spaced_hyphen": "-",
     "side_vs": "Vv", "side_x_dot": "Xx", "side_x": "Xx×", "full_stop": ".", "ampersand": "&", "word_e": "Ee",
 }
+
+
+def _cases(word: str) -> list[str]:
+    """A word in all mixtures of case."""
+    return ["".join(x) for x in itertools.product(*((c.upper(), c) for c in word))]
+
+
+#: What a text of plain blanks holds if it holds the candidate: texts without any of these are passed over.
+_HOLDS = {
+    "spaced_solidus": ["/"], "bare_solidus": ["/"], "spaced_hyphen": [" - "], "side_vs": _cases("vs") + _cases("sus"), "side_x_dot": ["X.", "x."],
+    "side_x": ["X", "x", "×"], "full_stop": ["."], "ampersand": [" & "], "word_e": [" E ", " e "],
+}
 #: Candidates of one character each are marked in one pass.
 _SINGLE_SIGNS = {"semicolon": ";", "bar": "|", "newline": "\r\n", "tab": "\t", "comma": ","}
 _MARK = {name: chr(0xE000 + k) for k, name in enumerate(CANDIDATES)}
@@ -67,10 +82,6 @@ _QUOTED = f"{_DOUBLE}|{_SINGLE}"
 _REGULAR = r"\p{L}[^ \uE000-\uE0FF]*+ ++[^ \uE000-\uE0FF]"
 
 
-def _plain(field: Column) -> Column:
-    return F.translate(field, _WIDE_BLANKS, " " * len(_WIDE_BLANKS))
-
-
 def _quotes(field: Column) -> Column:
     return F.contains(field, F.lit('"')) | F.contains(field, F.lit("'"))
 
@@ -81,26 +92,23 @@ def _let(value: Column, use) -> Column:
 
 
 def _mark(text: Column, names: list[str]) -> Column:
-    """A text with each of the named delimiters replaced by its mark."""
+    """A text of plain blanks with each of the named delimiters replaced by its mark."""
     signs = {c: _MARK[n] for n, cs in _SINGLE_SIGNS.items() if n in names for c in cs}
-    if signs:
-        text = F.translate(text, "".join(signs), "".join(signs.values()))
+    text = F.translate(text, "".join(signs) + _WIDE_BLANKS, "".join(signs.values()) + " " * len(_WIDE_BLANKS))
     for name in CANDIDATES:
         if name in names and name not in _SINGLE_SIGNS:
-            text = _let(text, _marker(name))
+            text = _let(text, _marker([name], _MARK[name]))
     return text
 
 
-def _marker(name: str):
-    return lambda t: F.when(_begins(t, name), F.regexp_replace(t, CANDIDATES[name], _MARK[name])).otherwise(t)
+def _marker(names: list[str], mark: str):
+    pattern = "|".join(CANDIDATES[n] for n in names)
+    return lambda t: F.when(_holds(t, names), F.regexp_replace(t, pattern, mark)).otherwise(t)
 
 
-def _begins(text: Column, name: str) -> Column:
-    """Whether a text holds a character with which the candidate can begin."""
-    here = F.lit(False)
-    for c in _FIRST[name]:
-        here = here | F.contains(text, F.lit(c))
-    return here
+def _holds(text: Column, names: list[str]) -> Column:
+    """Whether a text can hold one of the candidates."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in dict.fromkeys(c for n in names for c in _HOLDS[n])])
 
 
 def _value_count(signature: Column, marks: Column) -> Column:
@@ -139,9 +147,9 @@ def infer_delimiters(
         F.col(field).alias("packed_text"),
     ).where(F.col("packed_text").rlike(f"[^{BLANKS}]"))
     masked = F.when(_quotes(F.col("packed_text")), F.regexp_replace("packed_text", _QUOTED, "Q Q")).otherwise(F.col("packed_text"))
-    rows = rows.select("source_key", "group_key", _plain(_mark(masked, list(CANDIDATES))).alias("marked"))
-    sig = F.regexp_replace(F.regexp_replace("marked", r"[\p{L}\p{N}]++", "w"), r"[^w\uE000-\uE0FF]++", "")
-    sig = F.regexp_replace(sig, "w++", "w")
+    rows = rows.select("source_key", "group_key", _mark(masked, list(CANDIDATES)).alias("marked"))
+    # From the first to the last letter between two marks is one value; what then stands between values and marks is dropped.
+    sig = F.regexp_replace(F.regexp_replace("marked", r"[\p{L}\p{N}](?:[^\uE000-\uE0FF]*[\p{L}\p{N}])?", "w"), r"[^w\uE000-\uE0FF]++", "")
     stats = []
     for name, mark in _MARK.items():
         pieces = F.split("marked", mark, -1)
@@ -217,6 +225,23 @@ def unquote(piece: Column) -> Column:
     )
 
 
+_CUT = chr(0xE0FF)
+
+
+def _cut_marks(field: Column, names: list[str]) -> Column:
+    """A field with one mark for any of the delimiters; its blanks stay as they are."""
+    signs = "".join(c for n, cs in _SINGLE_SIGNS.items() if n in names for c in cs)
+    text = F.translate(field, signs, _CUT * len(signs)) if signs else field
+    others = [n for n in names if n not in _SINGLE_SIGNS]
+    if not others:
+        return text
+    pattern = "|".join(CANDIDATES[n] for n in others)
+    first = {c for n in others for c in _FIRST[n] if n != "side_vs"}
+    wide = [n for n in others if n == "side_vs"]
+    holds = [F.contains(field, F.lit(c)) for c in [*sorted(first), *(c for n in wide for c in _HOLDS[n])]]
+    return _let(text, lambda t: F.when(reduce(lambda a, b: a | b, holds), F.regexp_replace(t, pattern, _CUT)).otherwise(t))
+
+
 def split_packed(field: Column, names: list[str]) -> Column:
     """The values of a field under the given delimiters, as an array."""
     ordered = [n for n in CANDIDATES if n in names]
@@ -227,7 +252,7 @@ def split_packed(field: Column, names: list[str]) -> Column:
     run = "[^\"'" + "".join(f"\\u{ord(c):04X}" for c in begins) + "]++"
     piece = rf"(?s)(?:{delimiter})*+((?:{run}|{_QUOTED}|(?!{delimiter}).)*+)" if ordered else "(?s)(.++)"
     quoted = F.transform(F.regexp_extract_all(field, F.lit(piece), F.lit(1)), lambda p: unquote(strip_blanks(p)))
-    plain = F.transform(F.split(_mark(field, ordered), _MARK_CLASS, -1), strip_blanks)
+    plain = F.transform(F.split(_cut_marks(field, ordered), _CUT), strip_blanks)
     return F.filter(F.when(_quotes(field), quoted).otherwise(plain), lambda p: p != "")
 
 
