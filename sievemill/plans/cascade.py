@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemill.functions.scalars import matches_filter
+from sievemill.session import cut
 
 EPOCH = dt.date(1970, 1, 1)
-MOST_CLASSES = 10_000
+#: Up to so many classes the catalog goes to the days as a broadcast.
+SHARED_CLASSES = 10_000
 
 
 def halving_tree(lo: int, hi: int) -> list[tuple[int, int, int, str, int | None, int | None]]:
@@ -42,12 +44,12 @@ def day_counts(rows: DataFrame, day: Column) -> DataFrame:
     return rows.groupBy(F.unix_date(day.cast("date")).alias("day")).agg(F.count(F.lit(1)).alias("n")).where("day is not null")
 
 
-def date_cascade(rows: DataFrame, day: Column, cap: int, skip: list[tuple[str, str]] | None = None) -> DataFrame:
+def date_cascade(rows: DataFrame, day: Column, cap: int, skip: DataFrame | None = None) -> DataFrame:
     """Each visited window: ``from_day, to_day, depth, path, n, shown, kind``.
 
     ``kind`` is window (final), capped (split by date) or saturated (a single
-    day that has to be split otherwise). A window of ``skip`` is not searched
-    and cuts its subtree. An empty table has no windows.
+    day that has to be split otherwise). A window of ``skip`` (``from_day,
+    to_day``) is not searched and cuts its subtree. An empty table has no windows.
     """
     spark = rows.sparkSession
     counts = day_counts(rows, day)
@@ -57,10 +59,11 @@ def date_cascade(rows: DataFrame, day: Column, cap: int, skip: list[tuple[str, s
         tree = spark.createDataFrame([], schema)
     else:
         tree = spark.createDataFrame(halving_tree(ends["lo"], ends["hi"]), schema)
-    return _visited(tree, counts, cap, skip or [])
+    return _visited(tree, counts, cap, skip)
 
 
-def _visited(tree: DataFrame, counts: DataFrame, cap: int, skip: list[tuple[str, str]]) -> DataFrame:
+def window_counts(tree: DataFrame, counts: DataFrame) -> DataFrame:
+    """The windows of a tree with ``n``, their rows, and ``pn``, those of their parent."""
     # A running total over the days that occur; the calendar bounds its size, not the data.
     upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     sums = counts.select(F.col("day"), F.sum("n").over(upto).alias("cum"))
@@ -72,10 +75,17 @@ def _visited(tree: DataFrame, counts: DataFrame, cap: int, skip: list[tuple[str,
     to, before = totals.select(F.col("at").alias("hi"), F.col("cum").alias("c1")), totals.select((F.col("at") + 1).alias("lo"), F.col("cum").alias("c0"))
     counted = tree.join(to, "hi").join(before, "lo").select("lo", "hi", "depth", "path", "plo", "phi", (F.col("c1") - F.col("c0")).alias("n"))
     parents = counted.select(F.col("lo").alias("plo"), F.col("hi").alias("phi"), F.col("n").alias("pn"))
-    visited = counted.join(parents, ["plo", "phi"], "left").where(F.col("plo").isNull() | (F.col("pn") >= cap))
-    for start, end in skip:
-        a, b = (dt.date.fromisoformat(start) - EPOCH).days, (dt.date.fromisoformat(end) - EPOCH).days
-        visited = visited.where(~((F.col("lo") >= a) & (F.col("hi") <= b)))
+    return counted.join(parents, ["plo", "phi"], "left")
+
+
+def _visited(tree: DataFrame, counts: DataFrame, cap: int, skip: DataFrame | None) -> DataFrame:
+    visited = window_counts(tree, counts).where(F.col("plo").isNull() | (F.col("pn") >= cap))
+    if skip is not None:
+        # The windows above a window are the beginnings of its path; those skipped end what is below them.
+        day = lambda c: F.unix_date(F.col(c).cast("date"))
+        ended = visited.join(skip.select(day("from_day").alias("lo"), day("to_day").alias("hi")).distinct(), ["lo", "hi"], "left_semi").select(F.col("path").alias("__above"))
+        upper = visited.select("path", F.explode(F.transform(F.sequence(F.lit(0), F.col("depth")), lambda i: F.substring("path", F.lit(1), i))).alias("__above"))
+        visited = visited.join(upper.join(ended, "__above", "left_semi").select("path").distinct(), "path", "left_anti")
     kind = F.when(F.col("n") < cap, "window").when(F.col("lo") < F.col("hi"), "capped").otherwise("saturated")
     iso = lambda c: F.date_format(F.date_from_unix_date(c), "yyyy-MM-dd")
     return visited.select(
@@ -84,58 +94,71 @@ def _visited(tree: DataFrame, counts: DataFrame, cap: int, skip: list[tuple[str,
     )
 
 
+def class_leaves(days: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Each saturated day with each class of the catalog: the columns of ``days``, ``class_id, ord``.
+
+    Every class is one search, so that is what a split by class asks for. A
+    class listed twice counts once, at its first place. An empty catalog is
+    an error: it would drop the days silently. The catalog is one row that
+    holds all classes; days are as many as the calendar has.
+    """
+    classes = catalog.where("class_id is not null").groupBy("class_id").agg(F.min("ord").alias("ord"))
+    entries = cut(classes.agg(F.sort_array(F.collect_list(F.struct("ord", "class_id"))).alias("__classes")).withColumn("__k", F.lit(1)))
+    size = entries.select(F.size("__classes").alias("n")).first()["n"]
+    if not size:
+        raise ValueError("the class catalog is empty")
+    listed = days.withColumn("__k", F.lit(1)).join(F.broadcast(entries) if size <= SHARED_CLASSES else entries, "__k")
+    return listed.select(*days.columns, F.explode("__classes").alias("__e")).select(*days.columns, "__e.class_id", "__e.ord")
+
+
 def class_split(rows: DataFrame, day: Column, class_id: Column, catalog: DataFrame, cap: int) -> DataFrame:
     """The classes of each saturated day: ``day, class_id, ord, n, shown, kind``.
 
-    Every class of the catalog is one search, so classes without rows stay.
-    ``kind`` is window or saturated. An empty catalog is an error, as is one
-    of more than ``MOST_CLASSES``: it is a dimension that travels with the plan.
+    Classes without rows stay. ``kind`` is window or saturated.
     """
-    size = catalog.limit(MOST_CLASSES + 1).count()
-    if not 0 < size <= MOST_CLASSES:
-        raise ValueError("the class catalog is empty or too large")
     base = rows.select(F.date_format(day, "yyyy-MM-dd").alias("day"), class_id.alias("class_id"))
     counts = base.groupBy("day", "class_id").agg(F.count(F.lit(1)).alias("n"))
     days = counts.groupBy("day").agg(F.sum("n").alias("day_n")).where(F.col("day_n") >= cap).select("day")
-    entries = catalog.agg(F.sort_array(F.collect_list(F.struct("ord", "class_id"))).alias("c")).first()["c"]
-    listed = F.array(*(F.struct(F.lit(e["ord"]).alias("ord"), F.lit(e["class_id"]).alias("class_id")) for e in entries))
-    leaves = days.select("day", F.explode(listed).alias("e")).select("day", "e.class_id", "e.ord")
-    found = leaves.join(counts, ["day", "class_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
+    found = class_leaves(days, catalog).join(counts, ["day", "class_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
     kind = F.when(F.col("n") < cap, "window").otherwise("saturated")
     return found.select("day", "class_id", "ord", "n", F.least("n", F.lit(cap).cast("bigint")).alias("shown"), kind.alias("kind"))
 
 
-def cover(rows: DataFrame, leaf: list[str], number: str, name: str, filters: list[str], cap: int, plateau: int, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+def cover(
+    rows: DataFrame, leaf: list[str], number: str, name: str, filters: list[str], cap: int, plateau: int, most: int | None = None, rejected: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Cover saturated leaves by overlapping filters: (events, found rows).
 
     ``rows`` are the rows of the saturated leaves. Each filter shows its lowest
     ``cap`` matches. A filter that adds a number to the union (the unfiltered
     rows come first) resets the streak; one that adds none and isn't capped
     adds to it; a capped one without news leaves it. The cover ends at a
-    streak of ``plateau`` (covered) or after ``most`` filters (abandoned).
+    streak of ``plateau`` (covered) or after ``most`` filters (abandoned). A
+    filter the source refuses (``rejected``) is tried and tells nothing.
     Events: ``leaf, kind, filters_tried, union_size``. Found rows: ``leaf,
     number, ord``, each number under the first filter that listed it.
     """
     most = len(filters) if most is None else most
     if plateau < 1 or most < plateau:
         raise ValueError("plateau must be at least 1 and at most the number of filters")
-    used = filters[:most]
+    used, refused = filters[:most], set(rejected or ())
     base = rows.select(*leaf, F.col(number).alias("number"), F.col(name).alias("name"))
-    tried = F.array(*(F.struct(F.lit(k + 1).alias("ord"), F.lit(f).alias("filter")) for k, f in enumerate(used)))
-    hits = base.select(*leaf, "number", F.explode(F.filter(tried, lambda t: matches_filter(F.col("name"), t["filter"]))["ord"]).alias("ord"))
-    seed = base.select(*leaf, "number", F.lit(0).alias("ord"))
+    tried = F.array(F.struct(F.lit(0).alias("ord"), F.lit(None).cast("string").alias("filter")), *(F.struct(F.lit(k + 1).alias("ord"), F.lit(f).alias("filter")) for k, f in enumerate(used) if f not in refused))
+    met = F.filter(tried, lambda t: t["filter"].isNull() | matches_filter(F.col("name"), t["filter"]))
+    listed = base.select(*leaf, "number", F.explode(met["ord"]).alias("ord"))
+    # The lowest rows are taken with a limit that Spark applies before the shuffle too; sizes are counted apart.
     per = Window.partitionBy(*leaf, "ord").orderBy("number")
-    listed = seed.union(hits).withColumn("rank", F.row_number().over(per))
-    shown = listed.where(F.col("rank") <= cap)
-    firsts = shown.groupBy(*leaf, "number").agg(F.min("ord").alias("ord"))
+    shown = listed.withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= cap)
+    firsts = cut(shown.groupBy(*leaf, "number").agg(F.min("ord").alias("ord")))
     news = firsts.groupBy(*leaf, "ord").agg(F.count(F.lit(1)).alias("news"))
-    sizes = listed.groupBy(*leaf, "ord").agg(F.max("rank").alias("n"))
+    sizes = listed.groupBy(*leaf, "ord").agg(F.count(F.lit(1)).alias("n"))
     leaves = base.select(*leaf).distinct()
     grid = leaves.select(*leaf, F.explode(F.array(*(F.lit(k) for k in range(most + 1)))).alias("ord"))
     steps = grid.join(news, [*leaf, "ord"], "left").join(sizes, [*leaf, "ord"], "left").na.fill(0, ["news", "n"])
     walk = Window.partitionBy(*leaf).orderBy("ord")
     isle = steps.withColumn("isle", F.sum(F.when(F.col("news") > 0, 1).otherwise(0)).over(walk))
-    silent = (F.col("news") == 0) & (F.col("n") < cap) & (F.col("ord") > 0)
+    heard = ~F.col("ord").isin(*(k + 1 for k, f in enumerate(used) if f in refused)) if refused & set(used) else F.lit(True)
+    silent = (F.col("news") == 0) & (F.col("n") < cap) & (F.col("ord") > 0) & heard
     streaks = isle.withColumn("streak", F.sum(F.when(silent, 1).otherwise(0)).over(Window.partitionBy(*leaf, "isle").orderBy("ord")))
     streaks = streaks.withColumn("union_size", F.sum("news").over(walk))
     stops = streaks.groupBy(*leaf).agg(F.min(F.when(F.col("streak") >= plateau, F.col("ord"))).alias("stop"))

@@ -207,13 +207,6 @@ def page_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("seq", "x.number", "x.ca", "x.subject", "x.lastMovement")
 
 
-def summary(spark: SparkSession, sf: str) -> DataFrame:
-    """The counters of a run over its event log."""
-    kinds = {"view": "window", "click": "case-detailed", "error": "case-failed", "purchase": "document-downloaded", "signup": "request"}
-    mapped = F.create_map(*(F.lit(x) for kv in kinds.items() for x in kv))
-    return collection.run_summary(table(spark, sf, "events").select(mapped[F.col("event_type")].alias("kind")))
-
-
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/events*.parquet")
@@ -249,5 +242,5 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     window_filter, capped_topk, date_cascade, class_split, class_split_deep, class_split_check, party_filter, party_cover, sweep_dedup,
     latest_wins, first_seen_last_value, pending_queue, retry_ledger, retry_cap, seen_set, covered_windows, case_documents, page_reconcile,
-    budget_cut, breaker_runs, history_start, squash_text, sanitise_segment, date_strings, backoff, page_rows, summary, stream_dedup, stream_latest,
+    budget_cut, breaker_runs, history_start, squash_text, sanitise_segment, date_strings, backoff, page_rows, stream_dedup, stream_latest,
 )}

@@ -37,14 +37,14 @@ from days d cross join cat c left join n on n.day = d.day and n.class_id = c.cla
 
 _LINE_CLASSES = _classes("lineitem", "l_shipdate", "l_returnflag")
 _EVENT_CLASSES = _classes("events", "ts", "event_type")
-_FILTERS = "(values (1,'k','1'),(2,'k','2'),(3,'k','3'),(4,'k','4'),(5,'k','5'),(6,'k','6'),(7,'k','7'),(8,'k','8'),(9,'k','9'),(10,'k','0'),(11,'1','2'),(12,'3','4'),(13,'5','6'),(14,'7','8'),(15,'9','0')) f(ord, a, b)"
+COVER_FILTERS = "(values (1,'k','1'),(2,'k','2'),(3,'k','3'),(4,'k','4'),(5,'k','5'),(6,'k','6'),(7,'k','7'),(8,'k','8'),(9,'k','9'),(10,'k','0'),(11,'1','2'),(12,'3','4'),(13,'5','6'),(14,'7','8'),(15,'9','0')) f(ord, a, b)"
 _COVER = f"""
 with e as (select strftime(ts, '%Y-%m-%d') as day, event_type, event_id, props from events),
 leaf as (select day, event_type from e group by 1, 2 having count(*) >= 30),
 b as (select e.* from e join leaf using (day, event_type)),
 hits as (
   select day, event_type, event_id, 0 as ord from b
-  union all select b.day, b.event_type, b.event_id, f.ord from b join {_FILTERS} on contains(b.props, f.a) and contains(b.props, f.b)
+  union all select b.day, b.event_type, b.event_id, f.ord from b join {COVER_FILTERS} on contains(b.props, f.a) and contains(b.props, f.b)
 ),
 ranked as (select *, row_number() over (partition by day, event_type, ord order by event_id) as rk from hits),
 firsts as (select day, event_type, event_id, min(ord) as ord from ranked where rk <= 30 group by 1, 2, 3),
@@ -132,11 +132,6 @@ select o_orderkey, strftime(o_orderdate, '%d/%m/%Y') as form, strftime(o_orderda
     "backoff": """
 select attempt, cast(case when attempt % 3 = 0 then least(attempt * 9000, 60000) else least(1000 * power(2, attempt - 1), 60000) end as bigint) as delay_ms
 from (select unnest(range(1, 13)) as attempt)""",
-    "summary": """
-select count(*) filter (where event_type = 'view') as windows, cast(0 as bigint) as windows_skipped, cast(0 as bigint) as windows_rejected,
-       count(*) filter (where event_type = 'click') as cases_detailed, count(*) filter (where event_type = 'error') as cases_failed,
-       count(*) filter (where event_type = 'purchase') as documents_downloaded, cast(0 as bigint) as documents_skipped, cast(0 as bigint) as documents_failed,
-       count(*) filter (where event_type = 'signup') as requests, cast(0 as bigint) as retries from events""",
     "stream_dedup": "select distinct user_id from events",
     "stream_latest": """
 with u as (select * from events where event_type <> 'purchase' qualify row_number() over (partition by user_id order by event_id desc) = 1),
