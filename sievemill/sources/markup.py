@@ -32,6 +32,15 @@ class Element:
             yield e
             stack += [c for c in reversed(e.children) if isinstance(c, Element)]
 
+    def nodes(self) -> Iterator[Element | str]:
+        """All elements and texts below this one, in document order."""
+        stack = list(reversed(self.children))
+        while stack:
+            n = stack.pop()
+            yield n
+            if isinstance(n, Element):
+                stack += reversed(n.children)
+
     def find(self, test: Callable[[Element], bool]) -> Element | None:
         return next((e for e in self.walk() if test(e)), None)
 

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill import schemas
+from sievemill.functions.scalars import dated_entry, party_line
+from sievemill.operators.checks import page_advanced, page_plan
+from sievemill.sources import scripts
 from sievemill.sources.markup import Element, squash, table_rows, tree
 
 #: Table id endings of a detail page. Fixed values.
@@ -36,8 +39,6 @@ HEADING = "Dados do Processo"
 _SEALED = re.compile(r"segredo de justi[çc]a|autos? sigiloso", re.I)
 _DATABASE = re.compile(r"PSQLException|SQLException|Stacktrace completo", re.I)
 _NUMBER = re.compile(r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}")
-_DATED = re.compile(r"(\d{2})/(\d{2})/(\d{4})(?:\s+\d{2}:\d{2}:\d{2})?\s*-\s*(.+)", re.S)
-_TAIL = re.compile(r"\(([^()]+)\)\s*$")
 
 
 def result_rows(html: str | None) -> list[dict]:
@@ -123,45 +124,29 @@ def case_header(html: str | None) -> dict[str, str | None]:
     return out
 
 
-def party_line(line: str, status: str | None) -> dict | None:
-    """Name, role in the last brackets, registration and tax number of one line."""
-    text = squash(line)
-    tail = _TAIL.search(text)
-    body = text[: tail.start()].strip() if tail else text
-    oab, tax = re.search(r"OAB\s+([A-Z]{2}\d+[A-Z]?)", body), re.search(r"(CPF|CNPJ):\s*([\d./-]+)", body)
-    end = min([m.start() for m in (oab, tax) if m], default=len(body))
-    name = re.sub(r"-\s*$", "", body[:end]).strip()
-    if not name:
-        return None
-    document = {"kind": tax.group(1), "value": tax.group(2)} if tax else None
-    return {"name": name, "role": tail.group(1).strip() if tail else "", "document": document, "oab": oab.group(1) if oab else None, "status": status or None}
-
-
-def parties(html: str | None, table: str) -> list[dict]:
-    """One side's participants: the first span of each row's block, with the row's status."""
+def party_lines(html: str | None, table: str) -> list[dict[str, str]]:
+    """One side's participants as ``line`` and ``status``: the first span of each row's block, and the row's second cell."""
     out = []
     for row in table_rows(tree(html or ""), TABLES[table]):
         cells = row.kids("td")
         block = cells[0].find(lambda e: e.name == "div" and e.has_class("col-sm-12")) if len(cells) >= 2 else None
         spans = block.kids("span") if block else []
-        party = party_line(spans[0].text(), cells[1].text()) if spans else None
-        if party:
-            out.append(party)
+        if spans:
+            out.append({"line": spans[0].text(), "status": cells[1].text()})
     return out
 
 
-def movements(html: str | None) -> list[dict]:
-    """The dated entries of the movements table; other rows are left out."""
-    found = (_DATED.fullmatch(row.kids("td")[0].text()) for row in table_rows(tree(html or ""), TABLES["movements"]) if row.kids("td"))
-    return [{"date": f"{m[3]}-{m[2]}-{m[1]}", "description": m[4].strip()} for m in found if m]
+def movement_lines(html: str | None) -> list[str]:
+    """The first cells of the movements table."""
+    return [row.kids("td")[0].text() for row in table_rows(tree(html or ""), TABLES["movements"]) if row.kids("td")]
 
 
 def latin1_value(raw: str) -> str:
     return unquote_to_bytes(bytes(ord(c) & 0xFF for c in raw.replace("+", " "))).decode("latin-1")
 
 
-def documents(html: str | None) -> list[dict]:
-    """The rows with a download link that carries all its ids; an undated one has an empty date."""
+def document_links(html: str | None) -> list[dict]:
+    """The download links that carry all their ids, as ``text`` and ``download``."""
     out = []
     for row in table_rows(tree(html or ""), TABLES["documents"]):
         link = row.find(lambda e: e.name == "a" and "idBin=" in e.attrs.get("href", ""))
@@ -176,51 +161,102 @@ def documents(html: str | None) -> list[dict]:
             continue
         ref = {k: unquote(values[k].replace("+", " "), errors="replace") for k in ("idBin", "numeroDocumento", "idProcessoDocumento", "actionMethod")}
         ref["nomeArqProcDocBin"] = latin1_value(values.get("nomeArqProcDocBin", ""))
-        text = link.text()
-        dated = _DATED.fullmatch(text)
-        rest = dated[4].strip() if dated else text
-        tail = _TAIL.search(rest)
-        out.append({
-            "date": f"{dated[3]}-{dated[2]}-{dated[1]}" if dated else "", "name": rest[: tail.start()].strip() if tail else rest,
-            "kind": tail.group(1).strip() if tail else "", "download": ref, "localPath": None,
-        })
+        out.append({"text": link.text(), "download": ref})
     return out
 
 
-def section(html: str | None, table: str) -> str:
-    """The markup from a table's id to the nearest id of another table after it."""
-    text = html or ""
-    at = re.search(rf'id="[^"]*{TABLES[table]}"', text)
-    if not at:
-        return ""
-    ends = [m.start() for t, ending in TABLES.items() if t != table and (m := re.compile(rf'id="[^"]*{ending}"').search(text, at.start()))]
-    return text[at.start() : min(ends, default=len(text))]
+def stretch(root: Element, table: str) -> list[Element | str]:
+    """What follows a table's first id in the page, up to the first id of another table."""
+    own, others = TABLES[table], tuple(v for k, v in TABLES.items() if k != table)
+    out: list[Element | str] = []
+    for n in root.nodes():
+        ident = n.attrs.get("id", "") if isinstance(n, Element) else ""
+        if out and ident.endswith(others):
+            break
+        if out or ident.endswith(own):
+            out.append(n)
+    return out
+
+
+def _declared(texts: list[str]) -> int | None:
+    before, found, _ = "".join(texts).partition("resultados encontrados")
+    digits = re.search(r"[0-9]+$", before.rstrip()) if found else None
+    return int(digits.group()) if digits else None
+
 
+def _first_index(root: Element, table: str) -> int | None:
+    """The number after the table's name in the first attribute that has one."""
+    for e in root.walk():
+        for value in e.attrs.values():
+            index, colon, _ = value.partition(f"{TABLES[table]}:")[2].partition(":")
+            if colon and index.isdigit():
+                return int(index)
+    return None
 
-def page_facts(html: str | None, table: str) -> dict[str, int | None]:
-    """Rows (of any kind), the declared total, the first row's index and the slider's value of a table."""
-    declared = re.search(r"(\d+)\s*resultados encontrados", section(html, table))
-    first = re.search(rf"{TABLES[table]}:(\d+):", html or "")
-    slider = re.search(r"'sliderValue'\s*:\s*'(\d+)'", html or "")
-    as_int = lambda m: int(m.group(1)) if m else None
-    return {"rows": len(table_rows(tree(html or ""), TABLES[table])), "declared": as_int(declared), "firstIndex": as_int(first), "sliderValue": as_int(slider)}
+
+def page_facts(html: str | None, table: str) -> dict:
+    """What a page says of a table: rows of any kind, the declared total, the first row's index, the slider's value, its pager and page count."""
+    root = tree(html or "")
+    slid = next((v for n in root.nodes() if isinstance(n, str) and "sliderValue" in n and (v := scripts.text_after(list(scripts.tokens(n)), "sliderValue"))), None)
+    found = _pager(root, table)
+    return {
+        "rows": len(table_rows(root, TABLES[table])), "declared": _declared([n for n in stretch(root, table) if isinstance(n, str)]), "firstIndex": _first_index(root, table),
+        "sliderValue": int(slid) if slid is not None and slid.isdigit() else None, "pager": found and found["kind"], "pageCount": found and found["pageCount"],
+    }
+
+
+def _slider(root: Element, table: str) -> dict | None:
+    """A slider registered in the table's stretch: its own id, and the form and event named by the submission it makes when moved."""
+    for n in stretch(root, table):
+        for call in scripts.calls(n, "Richfaces.Slider") if isinstance(n, str) else ():
+            listed = scripts.texts(call)
+            action = next((x for x in listed if "A4J.AJAX.Submit(" in x), "")
+            submit = next(scripts.calls(action, "A4J.AJAX.Submit"), [])
+            event, highest = scripts.text_after(submit, "parameters"), scripts.text_after(call, "maxValue")
+            if listed and event and highest is not None and highest.isdigit():
+                return {"kind": "slider", "baseId": scripts.texts(submit)[0], "pageFieldId": listed[0], "eventFieldId": event, "pageCount": int(highest)}
+    return None
+
+
+def _scroller(root: Element, table: str) -> dict | None:
+    """The scroller whose id holds the table's name; pages are counted by the links of the scroller table last begun before it."""
+    links: list[int] | None = None
+    for n in root.nodes():
+        if isinstance(n, Element):
+            if n.has_class("rich-dtascroller-table"):
+                links = []
+            elif links is not None and (n.has_class("rich-datascr-act") or n.has_class("rich-datascr-inact")) and n.text().isdigit():
+                links.append(int(n.text()))
+            continue
+        for call in scripts.calls(n, "Richfaces.Datascroller"):
+            ident, base = next(iter(scripts.texts(call)), ""), scripts.text_after(call, "Submit")
+            if TABLES[table] in ident and base:
+                return {"kind": "datascroller", "baseId": base, "pageFieldId": ident, "eventFieldId": None, "pageCount": max(links or [1])}
+    return None
+
+
+def _pager(root: Element, table: str) -> dict | None:
+    return _slider(root, table) or _scroller(root, table)
 
 
 def pager(html: str | None, table: str) -> dict | None:
     """How a table is paged: a slider if there is one, else a scroller, else null."""
-    text = html or ""
-    slide = re.search(
-        r"""new Richfaces\.Slider\("([^"]+)",\{[^}]*?'maxValue':'(\d+)'.{0,900}?A4J\.AJAX\.Submit\(\\'([^\\']+)\\'.{0,900}?parameters\\'\s*:\s*\{\\'([^\\']+)\\'""",
-        section(html, table), re.S,
-    )
-    if slide:
-        return {"kind": "slider", "baseId": slide[3], "pageFieldId": slide[1], "eventFieldId": slide[4], "pageCount": int(slide[2])}
-    scroll = re.search(rf"new Richfaces\.Datascroller\('([^']*{TABLES[table]}[^']*)',\s*function\(event\)\{{A4J\.AJAX\.Submit\('([^']+)'", text)
-    if not scroll:
-        return None
-    near = text[max(text.rfind("rich-dtascroller-table", 0, scroll.start()), 0) : scroll.start()]
-    links = [int(n) for n in re.findall(r'rich-datascr-(?:act|inact)\s*"[^>]*>(\d+)<', near)]
-    return {"kind": "datascroller", "baseId": scroll[2], "pageFieldId": scroll[1], "eventFieldId": None, "pageCount": max(links, default=1)}
+    return _pager(tree(html or ""), table)
+
+
+def all_pagers(html: str | None) -> dict[str, dict | None]:
+    """The pagers of the four tables of a detail page."""
+    root = tree(html or "")
+    return {table: _pager(root, table) for table in TABLES}
+
+
+def search_component(html: str | None) -> str | None:
+    """The id under which the search form submits itself, null if the page doesn't say."""
+    for n in tree(html or "").nodes():
+        if isinstance(n, str) and "executarPesquisa" in n:
+            submit = next(scripts.calls(n[n.index("executarPesquisa") :], "A4J.AJAX.Submit"), [])
+            return scripts.text_after(submit, "parameters")
+    return None
 
 
 def form_fields(html: str | None, form_id: str) -> list[dict[str, str]]:
@@ -273,7 +309,7 @@ def _udf(reader: Callable, ddl: str) -> Callable[[Column], Column]:
 
 
 def _struct_udf(reader: Callable, ddl: str) -> Callable[[Column], Column]:
-    names = [c.split(" ")[0] for c in ddl.split(", ")]
+    names = list(reader(None))
 
     def run(pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([reader(p) for p in pages], columns=names)
@@ -288,16 +324,48 @@ rejection_message_udf = _udf(rejection_message, "string")
 class_catalog_udf = _udf(class_catalog, "array<struct<id:string,name:string,ord:int>>")
 page_kind_udf = _struct_udf(page_kind, "kind string, reason string")
 case_header_udf = _struct_udf(case_header, ", ".join(f"{f} string" for f in ["number", *schemas.HEADER_FIELDS]))
-movements_udf = _udf(movements, f"array<{schemas.MOVEMENT_DDL}>")
-documents_udf = _udf(documents, f"array<{schemas.DOCUMENT_DDL}>")
+_PAGER_DDL = "struct<kind:string,baseId:string,pageFieldId:string,eventFieldId:string,pageCount:int>"
+all_pagers_udf = _struct_udf(all_pagers, ", ".join(f"{t} {_PAGER_DDL}" for t in TABLES))
+search_component_udf = _udf(search_component, "string")
+form_fields_udf = lambda form_id: _udf(lambda html: form_fields(html, form_id), "array<struct<name:string,value:string>>")
+_movement_lines_udf = _udf(movement_lines, "array<string>")
+_document_links_udf = _udf(document_links, f"array<struct<text:string,download:{schemas.DOWNLOAD_DDL}>>")
+
+
+def movements_udf(html: Column | str) -> Column:
+    """The dated entries of the movements table; other rows are left out."""
+    dated = F.filter(F.transform(_movement_lines_udf(html), dated_entry), lambda d: d.isNotNull())
+    return F.transform(dated, lambda d: F.struct(d["date"].alias("date"), d["text"].alias("description")))
 
 
-def parties_udf(table: str) -> Callable[[Column], Column]:
-    return _udf(lambda html: parties(html, table), f"array<{schemas.PARTY_DDL}>")
+def documents_udf(html: Column | str) -> Column:
+    """The downloads of a page; one without a date has an empty one, its kind stands in the last brackets."""
+    tail = r"\(([^()]+)\)\s*$"
+
+    def one(link: Column) -> Column:
+        dated = dated_entry(link["text"])
+        rest = F.coalesce(dated["text"], link["text"])
+        return F.struct(
+            F.coalesce(dated["date"], F.lit("")).alias("date"), F.trim(F.regexp_replace(rest, tail, "")).alias("name"), F.trim(F.regexp_extract(rest, tail, 1)).alias("kind"),
+            link["download"].alias("download"), F.lit(None).cast("string").alias("localPath"),
+        )
+
+    return F.transform(_document_links_udf(html), one)
+
+
+def parties_udf(table: str) -> Callable[[Column | str], Column]:
+    """The participants of one side; lines without a name are left out."""
+    lines = _udf(lambda html: party_lines(html, table), "array<struct<line:string,status:string>>")
+    return lambda html: F.filter(F.transform(lines(html), lambda x: party_line(x["line"], x["status"])), lambda p: p.isNotNull())
 
 
 def page_facts_udf(table: str) -> Callable[[Column], Column]:
-    return _struct_udf(lambda html: page_facts(html, table), "rows int, declared int, firstIndex int, sliderValue int")
+    return _struct_udf(lambda html: page_facts(html, table), "rows int, declared int, firstIndex int, sliderValue int, pager string, pageCount int")
+
+
+def session_expired(html: Column, view: Column) -> Column:
+    """Whether a page shows that its session is gone: a detail page without its heading, another without a view token."""
+    return F.when(view == "detail", ~F.coalesce(html.contains(HEADING), F.lit(False))).otherwise(~F.coalesce(html.contains("javax.faces.ViewState"), F.lit(False)))
 
 
 def search_response(pages: DataFrame, html: str, warning: str, cap: int = schemas.CAP) -> DataFrame:
@@ -315,10 +383,12 @@ def assemble_cases(pages: DataFrame, expected: DataFrame) -> tuple[DataFrame, Da
     ``pages`` has ``ca, table_id, page, html``: page 1 of table_id null is the
     detail page, others are further pages of one table. ``expected`` has
     ``ca, number``. A sealed page gives an empty record with the expected
-    number. A page of an unexpected kind, a missing or different number, or a
-    table whose rows differ from the declared total makes an error row for
-    its case and fails nothing else. Pages are put together per case and
-    table with their own rows pre-parsed, in page order.
+    number. A page of an unexpected kind, a missing or different number, a
+    table of more than ``MAX_PAGES`` pages, a page that repeats the one before
+    it, or rows that differ from the declared total make an error row for
+    their case and fail nothing else. Pages are put together per case and
+    table with their own rows pre-parsed, in page order; further pages of a
+    table without a pager don't count.
     """
     first = pages.where("table_id is null").select("ca", "html").withColumn("kind", page_kind_udf("html")).withColumn("h", case_header_udf("html"))
     further = pages.where("table_id is not null")
@@ -329,15 +399,23 @@ def assemble_cases(pages: DataFrame, expected: DataFrame) -> tuple[DataFrame, Da
     wrong = F.lit(None).cast("string")
     for table, reader in readers.items():
         own = first.select("ca", F.lit(1).alias("page"), "html")
-        more = further.where(F.col("table_id") == table).select("ca", "page", "html")
-        facts = page_facts_udf(table)
-        each = own.union(more).withColumn("items", reader("html")).withColumn("facts", facts("html"))
+        more = further.where((F.col("table_id") == table) & (F.col("page") > 1)).select("ca", "page", "html")
+        each = own.union(more).withColumn("items", reader("html")).withColumn("f", page_facts_udf(table)("html")).drop("html")
+        head = each.where("page = 1").select("ca", F.col("f.pager").alias("pager"), F.col("f.rows").alias("size"), F.col("f.declared").alias("declared"), F.col("f.pageCount").alias("links"))
+        each = each.join(head, "ca").where("page = 1 or pager is not null")
+        each = each.withColumn("advanced", (F.col("page") == 1) | page_advanced(F.col("pager"), F.col("page"), F.col("size"), F.col("f.firstIndex"), F.col("f.sliderValue")))
         whole = each.groupBy("ca").agg(
             F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", "items"))), lambda x: x["items"])).alias(table),
-            F.sum("facts.rows").alias(f"{table}__rows"), F.max("facts.declared").alias(f"{table}__declared"),
+            F.sum("f.rows").alias("rows"), F.max("declared").alias("declared"), F.min(F.when(~F.col("advanced"), F.col("page"))).alias("stuck"),
+            F.max(F.when(F.col("pager").isNotNull(), page_plan(F.col("declared"), F.nullif(F.col("size"), F.lit(0)), F.col("links")))).alias("plan"),
+        )
+        fault = (
+            F.when(F.col("plan") > schemas.MAX_PAGES, F.concat(F.lit(f"{table}: "), F.col("plan").cast("string"), F.lit(" pages are too many")))
+            .when(F.col("stuck").isNotNull(), F.concat(F.lit(f"{table}: page "), F.col("stuck").cast("string"), F.lit(" isn't the one asked for")))
+            .when(F.col("declared") != F.col("rows"), F.lit(f"{table}: rows differ from the declared total"))
         )
-        cases = cases.join(whole, "ca", "left")
-        wrong = F.coalesce(wrong, F.when(F.col(f"{table}__declared") != F.col(f"{table}__rows"), F.lit(f"{table}: rows differ from the declared total")))
+        cases = cases.join(whole.select("ca", table, fault.alias(f"{table}__fault")), "ca", "left")
+        wrong = F.coalesce(wrong, F.col(f"{table}__fault"))
     sealed = F.col("kind.kind") == "sealed"
     reason = (
         F.when(sealed, F.lit(None).cast("string"))

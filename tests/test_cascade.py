@@ -37,7 +37,7 @@ def test_cascade_of_nothing_and_skips(spark):
     empty = spark.createDataFrame([], "d date")
     assert cascade.date_cascade(empty, F.col("d"), 30).count() == 0
     df = spark.createDataFrame([(dt.date(2025, 3, 11 + k % 2),) for k in range(40)], "d date")
-    got = rows(cascade.date_cascade(df, F.col("d"), 30, skip=[("2025-03-12", "2025-03-12")]).select("from_day", "to_day", "kind"))
+    got = rows(cascade.date_cascade(df, F.col("d"), 30, skip=spark.createDataFrame([("2025-03-12", "2025-03-12")], "from_day string, to_day string")).select("from_day", "to_day", "kind"))
     assert got == [("2025-03-11", "2025-03-11", "window"), ("2025-03-11", "2025-03-12", "capped")]
 
 

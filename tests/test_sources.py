@@ -48,15 +48,33 @@ def test_detail_page():
     assert pages.page_kind(None)["reason"] == "no detail panel"
     h = pages.case_header(html)
     assert (h["number"], h["filingDate"], h["subject"], h["court"], h["address"], h["judgingBody"]) == (N, "2025-03-05", "One (1; Two", "1ª Turma", "Rua A", "2ª Vara")
-    assert pages.parties(html, "activeParties") == [{"name": "PERSON ONE", "role": "ROLE", "document": {"kind": "CPF", "value": "000.000.000-00"}, "oab": "ZZ123A", "status": "Ativo"}]
-    assert pages.parties(html, "passiveParties") == []
-    assert pages.movements(html) == [{"date": "2025-02-01", "description": "text"}]
-    d = pages.documents(html)
-    assert len(d) == 1 and d[0]["name"] == "Name" and d[0]["kind"] == "Kind" and d[0]["download"]["nomeArqProcDocBin"] == "Inspeção"
+    assert pages.party_lines(html, "activeParties") == [{"line": "PERSON ONE - OAB ZZ123A - CPF: 000.000.000-00 (ROLE)", "status": "Ativo"}]
+    assert pages.party_lines(html, "passiveParties") == [] and pages.movement_lines(html) == ["01/02/2025 10:00:00 - text", "no date"]
+    d = pages.document_links(html)
+    assert len(d) == 1 and d[0]["download"]["nomeArqProcDocBin"] == "Inspeção"
     assert pages.page_facts(html, "documents")["rows"] == 2 and pages.page_facts(html, "movements")["declared"] == 2
     assert pages.page_facts(html, "passiveParties")["declared"] is None and pages.page_facts(html, "activeParties")["firstIndex"] == 0
 
 
+def test_detail_columns(spark):
+    df = spark.createDataFrame([(detail(),), (None,)], "html string")
+    got = df.select(pages.parties_udf("activeParties")("html").alias("p"), pages.movements_udf("html").alias("m"), pages.documents_udf("html").alias("d"), pages.session_expired(F.col("html"), F.lit("detail")).alias("x")).collect()
+    assert [p.asDict(True) for p in got[0].p] == [{"name": "PERSON ONE", "role": "ROLE", "document": {"kind": "CPF", "value": "000.000.000-00"}, "oab": "ZZ123A", "status": "Ativo"}]
+    assert [tuple(m) for m in got[0].m] == [("2025-02-01", "text")]
+    assert (got[0].d[0].date, got[0].d[0].name, got[0].d[0].kind) == ("2025-02-01", "Name", "Kind")
+    assert got[1].p == [] and got[1].m == [] and got[1].d == [] and [r.x for r in got] == [False, True]
+
+
+def test_scripts():
+    from sievemill.sources import scripts
+
+    call = next(scripts.calls("""a=1; f({'k' : 'it\\'s', n: [1, ")"], m: g("x")}); f()""", "f"))
+    assert scripts.texts(call) == ["k", "it's", ")", "x"] and scripts.text_after(call, "n") == ")" and scripts.text_after(call, "none") is None
+    assert list(scripts.calls("f('open", "f")) == [[scripts.Token("text", "open")]]
+    page = """<script>executarPesquisa=function(){A4J.AJAX.Submit('fPP',null,{'similarityGroupingId':'z','parameters':{'fPP:j_id244':'fPP:j_id244'} })}</script>"""
+    assert pages.search_component(page) == "fPP:j_id244" and pages.search_component(None) is None
+
+
 def test_pagers_and_forms():
     slider = """<table id="j:processoEvento"></table><script>new Richfaces.Slider("j:s",{'minValue':'1','maxValue':'5',x:'A4J.AJAX.Submit(\\'j:form\\',{\\'parameters\\':{\\'j:ev\\':1}})'})</script>"""
     assert pages.pager(slider, "movements") == {"kind": "slider", "baseId": "j:form", "pageFieldId": "j:s", "eventFieldId": "j:ev", "pageCount": 5}
@@ -65,6 +83,12 @@ def test_pagers_and_forms():
     got = pages.pager(scroll, "documents")
     assert got["kind"] == "datascroller" and got["pageCount"] == 2 and got["baseId"] == "j:base"
     assert pages.pager("", "documents") is None
+    # Without a scroller table before it there are no links to read, whatever other scrollers the page has after or before.
+    bare = """<td class="rich-datascr-inact">7</td><script>new Richfaces.Datascroller('j:processoDocumentoGridTab:sc', function(event){A4J.AJAX.Submit('j:base',event)})</script>
+    <table class="rich-dtascroller-table"><td class="rich-datascr-inact">9</td></table>"""
+    assert pages.pager(bare, "documents")["pageCount"] == 1
+    every = pages.all_pagers(scroll + slider)
+    assert every["documents"]["pageCount"] == 2 and every["movements"]["kind"] == "slider" and every["activeParties"] is None
     form = '<form id="j"><input name="a" value="1"><input name="b" type="submit"><input name="javax.faces.ViewState" value="v"><input name="javax.faces.ViewState" value="w">'
     fields = pages.form_fields(form, "j")
     assert fields == [{"name": "a", "value": "1"}, {"name": "javax.faces.ViewState", "value": "v"}]
@@ -72,8 +96,11 @@ def test_pagers_and_forms():
     assert body[0]["value"] == "_viewRoot" and {"name": got["pageFieldId"], "value": "2"} in body and {"name": "ajaxSingle", "value": got["pageFieldId"]} in body
 
 
+SCROLL = """<script>new Richfaces.Datascroller('x:processoPartesPoloAtivoResumidoList:sc', function(event){A4J.AJAX.Submit('j',event)})</script>"""
+
+
 def test_assembly(spark):
-    pg = [("c1", None, 1, detail()), ("c2", None, 1, detail(total=9)), ("c3", None, 1, detail("9999999-99.2025.4.05.0000")), ("c4", None, 1, '<dl class="rich-messages"><dd>autos sigilosos segredo de justica</dd></dl>'), ("c5", None, 1, None), ("c6", None, 1, detail(total=2)), ("c6", "activeParties", 2, f'<table id="x:processoPartesPoloAtivoResumidoList"><tbody>{party("PERSON TWO (ROLE)", 1)}</tbody></table>')]
+    pg = [("c1", None, 1, detail()), ("c2", None, 1, detail(total=9)), ("c3", None, 1, detail("9999999-99.2025.4.05.0000")), ("c4", None, 1, '<dl class="rich-messages"><dd>autos sigilosos segredo de justica</dd></dl>'), ("c5", None, 1, None), ("c6", None, 1, SCROLL + detail(total=2)), ("c6", "activeParties", 2, f'<table id="x:processoPartesPoloAtivoResumidoList"><tbody>{party("PERSON TWO (ROLE)", 1)}</tbody></table>')]
     df = spark.createDataFrame(pg, "ca string, table_id string, page int, html string")
     expected = spark.createDataFrame([(f"c{k}", N) for k in range(1, 7)], "ca string, number string")
     cases, errors = pages.assemble_cases(df, expected)
@@ -86,6 +113,19 @@ def test_assembly(spark):
     assert len(s.rows) == 1 and s.cap.by_text and s.cap.disagree
 
 
+def test_page_advance_and_ceiling(spark):
+    scroller = """<table class="rich-dtascroller-table"><td class="rich-datascr-act">1</td><td class="rich-datascr-inact">2</td></table>
+    <script>new Richfaces.Datascroller('x:processoPartesPoloAtivoResumidoList:sc', function(event){A4J.AJAX.Submit('j',event)})</script>"""
+    more = lambda k: f'<table id="x:processoPartesPoloAtivoResumidoList"><tbody>{party("PERSON TWO (ROLE)", k)}</tbody></table>'
+    pg = []
+    for ca, total, page2 in (("ok", 2, more(1)), ("stuck", 2, more(0)), ("many", 501, more(1))):
+        pg += [(ca, None, 1, detail(total=total).replace("resultados", scroller + f"{total} resultados", 1)), (ca, "activeParties", 2, page2)]
+    cases, errors = pages.assemble_cases(spark.createDataFrame(pg, "ca string, table_id string, page int, html string"), spark.createDataFrame([(c, N) for c in ("ok", "stuck", "many")], "ca string, number string"))
+    assert [(r.ca, len(r.activeParties)) for r in cases.collect()] == [("ok", 2)]
+    got = {r.ca: r.error for r in errors.collect()}
+    assert "page 2 isn't" in got["stuck"] and "501 pages" in got["many"]
+
+
 def test_ndjson(spark, tmp_path):
     path = str(tmp_path / "d" / "x.ndjson")
     assert ndjson.read_log(spark, path, "number string, seq bigint").count() == 0
