@@ -176,6 +176,11 @@ def decode_bytes(content: Column) -> Column:
     return F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
+def response_to_text(headers: Column, body: Column) -> Column:
+    """A response as struct(headers, text): header names in lower case, the body decoded."""
+    return F.struct(F.transform_keys(headers, lambda k, _: F.lower(k)).alias("headers"), decode_bytes(body).alias("text"))
+
+
 def matches_filter(name: Column, filter_text: Column) -> Column:
     """Every part of the filter occurs somewhere in the name; fewer than two parts match nothing."""
     parts = F.filter(F.split(filter_text, r"\s+"), lambda p: p != "")

@@ -197,6 +197,11 @@ def event_line() -> Column:
         .when(F.col("type") == "abandoned", cover("abandoned"))
         .when(F.col("type") == "skipped", F.concat(F.lit("search "), label, F.lit(" skipped (already covered)")))
         .when(F.col("type") == "rejected", F.concat(F.lit("search "), label, F.lit(" rejected: "), F.col("message")))
+        .when(F.col("type") == "case-detailed", F.concat(F.lit("detail "), label))
+        .when(F.col("type") == "case-failed", F.concat(F.lit("detail "), label, F.lit(" failed: "), F.col("message")))
+        .when(F.col("type") == "document-downloaded", F.concat(F.lit("document "), label))
+        .when(F.col("type") == "document-failed", F.concat(F.lit("document "), label, F.lit(" failed: "), F.col("message")))
+        .when(F.col("type") == "retry", F.concat(F.lit("retry "), label, F.lit(": "), F.col("message")))
     )
 
 

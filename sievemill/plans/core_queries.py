@@ -10,7 +10,7 @@ from sievemill.operators import checks, logs
 from sievemill.plans import cascade, collection
 from sievemill.schemas import CAP
 from sievemill.session import scratch, table
-from sievemill.sources import capped, pages
+from sievemill.sources import capped
 
 #: Filters over the stand-in's text: two parts each, like those over names.
 DIGIT_FILTERS = ["k 1", "k 2", "k 3", "k 4", "k 5", "k 6", "k 7", "k 8", "k 9", "k 0", "1 2", "3 4", "5 6", "7 8", "9 0"]
@@ -192,27 +192,12 @@ def backoff(spark: SparkSession, sf: str) -> DataFrame:
     return n.select("attempt", S.retry_delay_ms(F.col("attempt"), asked, F.lit(0.5)).alias("delay_ms"))
 
 
-def page_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Result pages made from the search rows, read back: one row per case listed."""
-    from sievemill.functions.text import is_blank
-
-    r = table(spark, sf, "search_rows").where(~is_blank(F.col("parties")))
-    esc = lambda c: F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    html = F.concat(
-        F.lit('<table id="f:processosTable"><tbody><tr><td><a onclick="openPopUp(\'x\',\'/listView.seam?ca='), "ca",
-        F.lit("')\">open</a></td><td>"), esc(F.col("judicialclass")), F.lit(" <b>Cls "), "number", F.lit(" - "), esc(F.col("subject")),
-        F.lit("</b> "), esc(F.col("parties")), F.lit("</td><td>"), esc(F.col("lastmovement")), F.lit("</td></tr></tbody></table>"),
-    )
-    read = r.select("seq", F.explode(pages.result_rows_udf(html)).alias("x"))
-    return read.select("seq", "x.number", "x.ca", "x.subject", "x.lastMovement")
-
-
-def _stream(spark: SparkSession, sf: str) -> DataFrame:
+def scratch_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/events*.parquet")
 
 
-def _drain(query_of, spark: SparkSession) -> None:
+def drain(query_of, spark: SparkSession) -> None:
     query = query_of.trigger(availableNow=True).start()
     query.awaitTermination()
 
@@ -222,8 +207,8 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from sievemill.streaming.streams import first_seen
 
     at = scratch(spark)
-    out = first_seen(_stream(spark, sf).select("user_id"), ["user_id"])
-    _drain(out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").outputMode("append"), spark)
+    out = first_seen(scratch_stream(spark, sf).select("user_id"), ["user_id"])
+    drain(out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").outputMode("append"), spark)
     return spark.read.parquet(f"{at}/out")
 
 
@@ -234,13 +219,13 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 
     at = scratch(spark)
     store = EqualityDeleteTable(spark, f"{at}/table", ["user_id"], ["event_id"], "event_id")
-    rows = _stream(spark, sf).select("user_id", "event_id", "event_type", "value")
-    _drain(rows.writeStream.foreachBatch(upsert_into(store, "event_type = 'purchase'")).option("checkpointLocation", f"{at}/checkpoint"), spark)
+    rows = scratch_stream(spark, sf).select("user_id", "event_id", "event_type", "value")
+    drain(rows.writeStream.foreachBatch(upsert_into(store, "event_type = 'purchase'")).option("checkpointLocation", f"{at}/checkpoint"), spark)
     return store.read()
 
 
 QUERIES = {f.__name__: f for f in (
     window_filter, capped_topk, date_cascade, class_split, class_split_deep, class_split_check, party_filter, party_cover, sweep_dedup,
     latest_wins, first_seen_last_value, pending_queue, retry_ledger, retry_cap, seen_set, covered_windows, case_documents, page_reconcile,
-    budget_cut, breaker_runs, history_start, squash_text, sanitise_segment, date_strings, backoff, page_rows, stream_dedup, stream_latest,
+    budget_cut, breaker_runs, history_start, squash_text, sanitise_segment, date_strings, backoff, stream_dedup, stream_latest,
 )}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_SQUASH = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
+SQUASH = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
 
 
 def _halving(rows: str, day: str, cap: int) -> str:
@@ -119,7 +119,7 @@ with m as (select user_id, event_type = 'error' as hit, sum(case when event_type
 r as (select user_id, isle, count(*) as n from m where hit group by 1, 2)
 select user_id, max(n) as longest, count(*) filter (where n >= 3) as trips from r group by 1 having max(n) >= 3""",
     "history_start": "select cast(greatest(min(year(o_orderdate)), 1996) as integer) as first_year, cast(1996 as integer) as floor from orders where year(o_orderdate) <= 2001",
-    "squash_text": f"select doc_id, trim(regexp_replace(text, '{_SQUASH}', ' ', 'g')) as squashed from documents where text is not null",
+    "squash_text": f"select doc_id, trim(regexp_replace(text, '{SQUASH}', ' ', 'g')) as squashed from documents where text is not null",
     "sanitise_segment": r"""
 with v as (
   select p_partkey as id, '.' || p_name || ' / ' || p_brand as raw from part
@@ -160,6 +160,13 @@ _PATH = (
     "nfc_normalize(regexp_replace(regexp_replace(regexp_replace(trim({0}), '\\\\', '/', 'g'), '/(\\.?/)+', '/', 'g'), '^(\\./)+', ''))"
 )
 
+
+
+def path(column: str) -> str:
+    """One spelling per file in SQL."""
+    return _PATH.format(column)
+
+
 ORACLES["p2_found"] = f"""
 with c as (
   select 'failed_documents' as ledger, ledger_key, record_type, {instant('recordedat')} as instant, attempt, seq from failed_documents

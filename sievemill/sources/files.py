@@ -35,3 +35,9 @@ def outcome(status: Column, content_type: Column, content: Column) -> Column:
         .when(~is_pdf(content), F.lit("no PDF content"))
     )
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"), is_retryable_status(status).alias("retryable"))
+
+
+def thrown_outcome(kind: Column, message: Column) -> Column:
+    """What an error thrown by a download is: struct(ok, reason, retryable). Only a rate limit and an open breaker pass."""
+    reason = F.concat(kind, F.lit(": "), F.coalesce(message, F.lit("")))
+    return F.struct(F.lit(False).alias("ok"), reason.alias("reason"), kind.isin("RateLimited", "BreakerOpen").alias("retryable"))

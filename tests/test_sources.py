@@ -144,6 +144,25 @@ def test_ndjson(spark, tmp_path):
     assert ndjson.repair_tail(path) and open(path).read() == ""
 
 
+def test_log_of_batches(spark, tmp_path):
+    """The later batch wins whatever order its files are read in, also through a URI; a batch written again counts once."""
+    path = f"file://{tmp_path}/log"
+    assert ndjson.read_log(spark, path, "k string, v int").count() == 0
+    big = spark.range(2000).select(F.concat(F.lit("k"), F.col("id") % 10).alias("k"), F.col("id").cast("int").alias("v")).repartition(3)
+    ndjson.write_log(big, path, 1)
+    small = spark.createDataFrame([(f"k{i}", -i) for i in range(10)], "k string, v int").coalesce(1)
+    for _ in range(2):
+        ndjson.write_log(small, path, 2)
+    log = ndjson.read_log(spark, path, "k string, v int")
+    assert log.count() == 2010 == log.select("seq").distinct().count()
+    assert rows(log.groupBy("k").agg(F.max_by("v", "seq").alias("v"))) == sorted([(f"k{i}", -i) for i in range(10)], key=repr)
+    for n in range(2):
+        (tmp_path / "bare").mkdir(exist_ok=True)
+        (tmp_path / "bare" / f"{n}.json").write_text('{"k": "a"}\n')
+    with pytest.raises(ndjson.ParseError):
+        ndjson.read_log(spark, str(tmp_path / "bare"), "k string")
+
+
 def test_store(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     assert store.pending().count() == 0
