@@ -9,11 +9,6 @@ import sys
 LEAST_DELAY_MS = 500
 
 
-class Args(argparse.ArgumentParser):
-    def error(self, message: str) -> None:  # exit code 2, message on stderr
-        super().error(message)
-
-
 def _day(text: str) -> str:
     try:
         if len(text) != 10:
@@ -31,7 +26,7 @@ def _positive(text: str) -> int:
 
 def parse_args(argv: list[str], today: dt.date | None = None) -> argparse.Namespace:
     """Options of a run; the range is yesterday in UTC by default. Bad options end with code 2."""
-    p = Args(prog="sievemill", description="Cover, record and reconcile a capped source from captured data.", allow_abbrev=False)
+    p = argparse.ArgumentParser(prog="sievemill", description="Cover, record and reconcile a capped source from captured data.", allow_abbrev=False)
     p.add_argument("--from", dest="start", type=_day)
     p.add_argument("--to", dest="end", type=_day)
     p.add_argument("--max-requests", type=_positive, default=40)
@@ -54,24 +49,52 @@ def parse_args(argv: list[str], today: dt.date | None = None) -> argparse.Namesp
     return args
 
 
-SUMMARY = ["windows", "windows_skipped", "windows_rejected", "cases_detailed", "cases_failed", "documents_downloaded", "documents_skipped", "documents_failed", "requests", "retries"]
+#: Labels of the summary's lines where they aren't the counter's name.
+LABELS = {"retries": "429 retries"}
 
 
 def summary_lines(row: dict) -> list[str]:
     """One line per counter in a fixed order."""
-    return ["--- run summary ---", *(f"{k.replace('_', ' ')}: {row[k]}" for k in SUMMARY if k in row)]
+    from sievemill.plans.collection import SUMMARY
+
+    shown = {**row, "stopped_by": row.get("stopped_by") or "(ran to completion)"}
+    return ["--- run summary ---", *(f"{LABELS.get(k, k.replace('_', ' '))}: {shown[k]}" for k in SUMMARY if k in shown)]
+
+
+def hint(row: dict) -> str | None:
+    """What to say of a run of one window that lists nothing."""
+    if row["windows"] == 1 and row["cases_listed"] == 0:
+        return "hint: one window and no cases listed; the day may be a weekend or a holiday, try another range"
+    return None
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Print the open work of a data folder."""
+    """Run over the captured tables of a data folder, or try its failures again, and print what was done."""
+    from pyspark.sql import functions as F
+
+    from sievemill.functions.scalars import range_label
+    from sievemill.plans.collection import event_line
+    from sievemill.plans.job import Job
     from sievemill.session import build_session, ship
     from sievemill.sources.store import Store
 
     args = parse_args(sys.argv[1:] if argv is None else argv)
-    store = Store(ship(build_session()), args.data_dir)
-    print(f"pending rows: {store.pending().count()}")
-    for ledger in ("failed_cases", "failed_documents"):
-        print(f"retryable in {ledger}: {store.retryable(ledger).count()}")
+    print(f"range: {args.start}..{args.end}")
+    print("limits: none" if args.unbounded else f"limits: {args.max_requests} requests, {args.max_cases} cases")
+    spark = ship(build_session())
+    job = Job(spark, Store(spark, f"{args.data_dir}/store"), f"{args.data_dir}/captured")
+    batch = job.next_batch()
+    if args.retry_failed:
+        summary = job.retry(batch)
+    else:
+        log, summary = job.run(batch, args.start, args.end, args.max_requests, args.max_cases)
+        label = F.coalesce(F.col("number"), range_label(F.col("from_day"), F.col("to_day"), F.col("class_id"), F.lit(None).cast("string")))
+        lines = log.where("type <> 'resumed'").withColumns({"label": label, "message": F.col("reason"), "shown": F.col("rows")})
+        for row in lines.orderBy("path", "stage", "ord", "number", "doc").select(event_line().alias("line")).toLocalIterator():
+            print(row["line"])
+    print("\n".join(summary_lines(summary)))
+    if not args.retry_failed and (said := hint(summary)):
+        print(said)
     return 0
 
 

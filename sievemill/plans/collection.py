@@ -84,6 +84,7 @@ def work_units(events: DataFrame, listed: DataFrame, details: DataFrame, documen
     searches = events.select(
         "path", F.lit(0).alias("stage"), F.lit(0).alias("ord"), F.lit(None).cast(listed.schema["number"].dataType).alias("number"), F.lit(-1).cast("bigint").alias("doc"),
         "type", F.col("requests").alias("cost"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("retries"), F.lit(True).alias("gated"), F.col("message").alias("reason"),
+        "from_day", "to_day", "class_id", "split_by", "filters_tried", "union_size",
     )
     late = pending.select("number").distinct().join(listed.select("number"), "number", "left_anti").select(F.lit("~").alias("path"), F.lit(0).alias("ord"), "number")
     rows = listed.select("path", "ord", "number").unionByName(late)
@@ -103,7 +104,7 @@ def work_units(events: DataFrame, listed: DataFrame, details: DataFrame, documen
         F.when(F.col("skipped"), 0).otherwise(F.col("requests")).cast("bigint").alias("cost"), F.lit(0).cast("bigint").alias("rows"),
         F.coalesce("retries", F.lit(0)).cast("bigint").alias("retries"), F.lit(False).alias("gated"), F.col("error").alias("reason"),
     )
-    return searches.unionByName(fetched).unionByName(files)
+    return searches.unionByName(fetched.unionByName(files), allowMissingColumns=True)
 
 
 def run(
@@ -126,6 +127,8 @@ def run(
     ``pending`` (rows left) and ``summary``, one row of ``SUMMARY`` without
     the two counts of the ledgers.
     """
+    details = details.select("number", "requests", "error", "retries")
+    documents = documents.select("number", "doc", "document_id", "requests", "skipped", "error", "retries")
     units = work_units(events, listed, details, documents, pending, stored)
     stop, why = None, None
     if max_requests is not None or max_cases is not None:

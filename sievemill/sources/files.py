@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +17,59 @@ def is_pdf(content: Column) -> Column:
 
 
 def valid_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The valid PDF files below a folder: ``path, bytes``. Only the head of the content is kept."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(folder)
-    return files.where(is_pdf(F.col("content"))).select(file_path(F.col("path")).alias("path"), F.col("length").alias("bytes"))
+    """The valid PDF files below a folder: ``path, bytes``. Four bytes of each file are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(folder).select("path", "length")
+
+    @F.pandas_udf("binary")
+    def head(paths: pd.Series) -> pd.Series:
+        return paths.map(_head)
+
+    return files.where(is_pdf(head("path"))).select(file_path(F.col("path")).alias("path"), F.col("length").alias("bytes"))
+
+
+def _head(path: str) -> bytes | None:
+    from pyarrow import fs
+    from urllib.parse import unquote
+
+    try:
+        system, inner = fs.FileSystem.from_uri("file://" + path.removeprefix("file:").replace("///", "/") if path.startswith("file:") else path)
+        with system.open_input_stream(unquote(inner)) as f:
+            return f.read(4)
+    except (OSError, ValueError):
+        return None
+
+
+def store_files(responses: DataFrame, root: str) -> DataFrame:
+    """Write downloaded files: ``path, written`` (false where a valid file was there already).
+
+    ``responses`` has ``path`` (below ``root``, a folder all executors share)
+    and ``content``; rows whose content is no PDF aren't written. A file
+    appears whole or not at all: it is written beside its place and renamed.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+        import uuid
+
+        for batch in batches:
+            written = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                target = os.path.join(root, path)
+                there = False
+                if os.path.exists(target):
+                    with open(target, "rb") as f:
+                        there = f.read(4) == b"%PDF"
+                if not there:
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    beside = f"{target}.{uuid.uuid4().hex}.part"
+                    with open(beside, "wb") as f:
+                        f.write(content)
+                    os.replace(beside, target)
+                written.append(not there)
+            yield pd.DataFrame({"path": batch["path"], "written": pd.Series(written, dtype="bool")})
+
+    good = responses.where(is_pdf(F.col("content")) & F.col("path").isNotNull()).select("path", "content")
+    return good.mapInPandas(write, "path string, written boolean")
 
 
 def to_download(documents: DataFrame, path: Column, existing: DataFrame) -> DataFrame:

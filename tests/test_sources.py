@@ -187,6 +187,9 @@ def test_files(spark, tmp_path):
     (tmp_path / "a" / "y.pdf").write_bytes(b"<html>")
     got = rows(files.valid_files(spark, str(tmp_path)))
     assert len(got) == 1 and got[0][0].endswith("/a/x.pdf")
+    got = spark.createDataFrame([("d/n.pdf", b"%PDF-x"), ("a/x.pdf", b"%PDF-y"), ("a/y.pdf", b"%PDF-z"), ("z.pdf", b"no")], "path string, content binary")
+    assert rows(files.store_files(got, str(tmp_path))) == [("a/x.pdf", False), ("a/y.pdf", True), ("d/n.pdf", True)]
+    assert (tmp_path / "a" / "x.pdf").read_bytes() == b"%PDF-1.4" and files.valid_files(spark, str(tmp_path)).count() == 3
     df = spark.createDataFrame([(200, "application/pdf", b"%PDF"), (200, "text/html", b"%PDF"), (429, None, None), (200, "Application/PDF;x", b"no")], "s int, t string, c binary")
     out = [r.o for r in df.select(files.outcome(F.col("s"), F.col("t"), F.col("c")).alias("o")).collect()]
     assert [(o.ok, o.reason, o.retryable) for o in out] == [(True, None, False), (False, "not a PDF", False), (False, "HTTP 429", True), (False, "no PDF content", False)]
@@ -202,5 +205,6 @@ def test_cli():
         with pytest.raises(SystemExit) as e:
             cli.parse_args(bad)
         assert e.value.code == 2
-    assert cli.summary_lines({"windows": 3})[1] == "windows: 3"
+    assert cli.summary_lines({"windows": 3})[1] == "windows: 3" and cli.summary_lines({"retries": 1})[1:] == ["429 retries: 1", "stopped by: (ran to completion)"]
+    assert cli.hint({"windows": 1, "cases_listed": 0}) and not cli.hint({"windows": 2, "cases_listed": 0})
     assert json.dumps(schemas.FILTERS) and len(schemas.FILTERS) == 15
