@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ TRADE = frozenset(
 OFFICE = frozenset("MUNICIPIO UNIVERSIDADE FUNDACAO INSTITUTO CONSELHO SUPERINTENDENCIA ASSOCIACAO FRENTE UNIAO ESTADO PREVIDENCIA REGIONAL PORTO TERRAS".split())
 TOWN = frozenset("MUNICIPIO PREFEITURA MUNICIPAL FAZENDA MUN MUNIC PREF".split())
 SHORT_TRADE = frozenset("IMP EXP COM IND SERV DISTRIB EMPREEND CONSTR TRANSP".split())
-#: Blocks are split into chunks of this many spellings; every pair of chunks is compared.
+#: Blocks of more forms than this are split by the letters of what else the forms hold, then compared in chunks of this size.
 CHUNK = 300
 
 
@@ -266,23 +267,31 @@ def block_keys(n: Name, counts: dict[str, int]) -> list[str]:
     return sorted(out)
 
 
-def best_parents(members: list[tuple[str, int, dict[str, int]]]) -> list[tuple[str, str, float]]:
-    """For each spelling of a block its form of the highest posterior: child, parent, score."""
-    parsed = [(from_key(k), rows, counts) for k, rows, counts in members]
-    order = sorted(((rank(n, rows, counts), n, rows, counts) for n, rows, counts in parsed), key=lambda x: x[0], reverse=True)
-    out = []
-    for i, (_, n, _, own) in enumerate(order):
-        best = None
-        for _, c, rows, theirs in order[:i]:
-            both = own | theirs
-            fit = likelihood(n, c, both)
-            if fit is not None:
-                score = fit + math.log(rows)
-                if best is None or score > best[1]:
-                    best = (c.key(), score)
-        if best:
-            out.append((n.key(), *best))
-    return out
+def split_keys(n: Name, key: str) -> list[str]:
+    """The parts of a block that is too large in which a form belongs: by the first letters of what it holds beside the block's words.
+
+    Two forms that fit have a further word or initial in common, if they
+    have any: equal, short for the other, or a typo of it. One letter put in,
+    left out, changed or swapped leaves one of the first two letters among
+    the first two of the other.
+    """
+    inside = set(key.replace("-", " ").replace("=", " ").split()) if key[0] != "~" else set()
+    rest = [w for w in n.words if w not in inside and not any(x in inside for x in NICKNAMES.get(w, ()))]
+    letters = {c for w in rest for x in (w, *NICKNAMES.get(w, ())) for c in (x[:2] if len(x) > 1 else x)} | set(n.initials)
+    return [f"{key} {c}" for c in sorted(letters)] or [f"{key} *"]
+
+
+def compare(a: str, b: str) -> tuple[bool, float] | None:
+    """Two lines of forms: whether the first is the variant, and its score under the other; null if neither fits.
+
+    The higher form by :func:`rank` is the canonical one. The score is the
+    log-likelihood of the variant plus the log of the form's rows.
+    """
+    (ka, na, ca), (kb, nb, cb) = _counted(a), _counted(b)
+    x, y, counts = from_key(ka), from_key(kb), ca | cb
+    first = rank(x, na, ca) < rank(y, nb, cb)
+    fit = likelihood(x, y, counts) if first else likelihood(y, x, counts)
+    return None if fit is None else (first, fit + math.log(nb if first else na))
 
 
 def registration(oab: Column) -> Column:
@@ -332,49 +341,84 @@ def _pointers(parents: DataFrame, child: str = "child", parent: str = "parent")
         now = after.select("c", "p")
 
 
-def attribute(keyed: DataFrame) -> DataFrame:
-    """Attach each spelling to its canonical form: ``key, root``.
+def _paired(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of forms in blocks of at most CHUNK, and the entries of larger blocks: (pairs, rest)."""
+    sized = entries.join(entries.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "block")
+    sized = cut(sized)
+    small = sized.where(F.col("size") <= CHUNK).select("block", "id")
+    pairs = small.select("block", F.col("id").alias("a")).join(small.select("block", F.col("id").alias("b")), "block").where("a < b").select("a", "b")
+    return pairs, sized.where(F.col("size") > CHUNK).select("block", "id", "size")
 
-    ``keyed`` has one row per record with ``key``. Spellings are counted
-    first, so a name may hold any share of the rows. Blocks of more than
-    CHUNK spellings are compared chunk by chunk in separate tasks, all of
-    them: no block is capped. The best parent over all blocks holds.
+
+def _block_hash(key: str) -> int:
+    return xxhash.xxh64_intdigest(key) - (1 << 63)
+
+
+def candidates(lines: DataFrame) -> DataFrame:
+    """The pairs of forms that meet in a block, each once: ``a, b`` (ids). ``lines`` has ``id, line``.
+
+    Only ids and hashes of blocks are moved. A block of more than CHUNK forms
+    is split by :func:`split_keys`; what is still larger is compared chunk by
+    chunk, all of it, so no block is capped.
     """
-    forms = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
-    words = forms.select("key", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
-    counted = words.join(words.groupBy("word").agg(F.sum("n").alias("c")), "word")
-    listed = counted.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"))
-    lines = forms.join(listed, "key", "left").select("key", F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit(""))).alias("line"))
 
-    @F.pandas_udf("array<string>")
-    def blocks(lines: pd.Series) -> pd.Series:
-        def one(line: str) -> list[str]:
+    @F.pandas_udf("array<bigint>")
+    def blocks(given: pd.Series) -> pd.Series:
+        def one(line: str) -> list[int]:
             key, _, counts = _counted(line)
-            return block_keys(from_key(key), counts)
+            return list(map(_block_hash, block_keys(from_key(key), counts)))
+
+        return given.map(one)
 
-        return lines.map(one)
+    @F.pandas_udf("array<bigint>")
+    def parts(given: pd.Series, large: pd.Series) -> pd.Series:
+        def one(line: str, hashes) -> list[int]:
+            key, _, counts = _counted(line)
+            name, wanted = from_key(key), set(hashes)
+            return sorted({_block_hash(p) for k in block_keys(name, counts) if _block_hash(k) in wanted for p in split_keys(name, k)})
 
-    met = cut(lines.select("line", F.explode(blocks("line")).alias("block")))
-    sizes = met.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    chunked = met.join(sizes, "block").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("line"), F.col("chunks")).cast("int"))
-    spread = chunked.select("block", "line", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    spread = spread.select("block", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "line")
-    groups = spread.groupBy("block", "lo", "hi").agg(F.collect_list("line").alias("lines")).select("lines")
+        return pd.Series([one(x, h) for x, h in zip(given, large, strict=True)])
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            best: dict[str, tuple[float, str]] = {}
-            for members in batch["lines"]:
-                for child, parent, score in best_parents([_counted(x) for x in members]):
-                    if child not in best or (score, parent) > best[child]:
-                        best[child] = (score, parent)
-            yield pd.DataFrame({"child": list(best), "score": [v[0] for v in best.values()], "parent": [v[1] for v in best.values()]}, dtype=object)
+    pairs, large = _paired(cut(lines.select("id", F.explode(blocks("line")).alias("block"))))
+    if not large.isEmpty():
+        again = large.groupBy("id").agg(F.collect_list("block").alias("large")).join(lines, "id")
+        more, rest = _paired(cut(again.select("id", F.explode(parts("line", "large")).alias("block"))))
+        chunked = rest.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+        spread = chunked.select("block", "id", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+        spread = spread.select("block", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "id")
+        keys = ["block", "lo", "hi"]
+        crossed = spread.withColumnRenamed("id", "a").join(spread.withColumnRenamed("id", "b"), keys).where("a < b").select("a", "b")
+        pairs = pairs.unionByName(more).unionByName(crossed)
+    return pairs.distinct()
+
+
+def attribute(keyed: DataFrame) -> DataFrame:
+    """Attach each spelling to its canonical form: ``key, root``.
 
-    offers = groups.mapInPandas(compare, "child string, score double, parent string")
-    parents = offers.groupBy("child").agg(F.max(F.struct("score", "parent")).alias("b")).select("child", "b.parent")
-    roots = _pointers(parents)
-    return forms.join(roots, forms["key"] == roots["child"], "left").select("key", F.coalesce("parent", "key").alias("root"))
+    ``keyed`` has one row per record with ``key``. Spellings are counted
+    first, so a name may hold any share of the rows. The pairs that meet in
+    some block are scored once each; the best parent over all of them holds.
+    """
+    forms = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("id", F.monotonically_increasing_id()))
+    words = forms.select("id", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
+    counted = words.join(words.groupBy("word").agg(F.sum("n").alias("c")), "word")
+    listed = counted.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"))
+    lines = cut(forms.join(listed, "id", "left").select("id", F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit(""))).alias("line")))
+
+    @F.pandas_udf("first boolean, score double")
+    def scored(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        found = [compare(x, y) or (None, None) for x, y in zip(a, b, strict=True)]
+        return pd.DataFrame({"first": pd.Series([f for f, _ in found], dtype="boolean"), "score": pd.Series([s for _, s in found], dtype="float64")})
+
+    met = candidates(lines).join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    offers = met.select("a", "b", scored("line_a", "line_b").alias("s"), F.split_part("line_a", F.lit("\t"), F.lit(1)).alias("key_a"), F.split_part("line_b", F.lit("\t"), F.lit(1)).alias("key_b")).where("s.first is not null")
+    offers = offers.select(
+        F.when(F.col("s.first"), F.col("a")).otherwise(F.col("b")).alias("child"), F.col("s.score").alias("score"),
+        F.when(F.col("s.first"), F.col("key_b")).otherwise(F.col("key_a")).alias("of"), F.when(F.col("s.first"), F.col("b")).otherwise(F.col("a")).alias("parent"),
+    )
+    parents = offers.groupBy("child").agg(F.max(F.struct("score", "of", "parent")).alias("b")).select("child", "b.parent")
+    roots = _pointers(parents).join(forms.select(F.col("id").alias("parent"), F.col("key").alias("root")), "parent").select(F.col("child").alias("id"), "root")
+    return forms.join(roots, "id", "left").select("key", F.coalesce("root", "key").alias("root"))
 
 
 def akin(a: str, b: str) -> bool:
@@ -407,8 +451,8 @@ def entities(df: DataFrame, row_id: str, name: str, oab: str, document: str) ->
     Rows are joined by the channel, then by tax number, then by registration
     where the names are akin. A registration with one digit typed wrong is
     the other one of its state; two different registrations in one state are
-    two persons, and rows of the name without one of them go with the more
-    frequent. Nulls in any column, equal rows and extra columns are allowed;
+    two persons, in every state that has them, and rows of the name without
+    one of them go with the more frequent. Nulls in any column, equal rows and extra columns are allowed;
     an empty table gives an empty result.
     """
     keyed = cut(spellings(df, row_id, name))
@@ -422,11 +466,12 @@ def entities(df: DataFrame, row_id: str, name: str, oab: str, document: str) ->
         up = _pointers(_join_by(rows, mark))
         rows = cut(rows.join(up, rows["root"] == up["child"], "left").select("id", F.coalesce("parent", "root").alias("root"), "reg", "tax"))
     held = rows.where("reg is not null").groupBy("root", F.col("reg.state").alias("state"), F.col("reg.num").alias("num")).agg(F.count(F.lit(1)).alias("n"))
-    states = held.groupBy("root", "state").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("k"), F.collect_list(F.struct("n", "num")).alias("nums")).where("k > 1")
-    state = states.groupBy("root").agg(F.max_by(F.struct("state", "nums"), F.struct("rows", "state")).alias("s")).select("root", "s.state", "s.nums")
+    nums = held.groupBy("root", "state").agg(F.collect_list(F.struct("n", "num")).alias("nums"), F.count(F.lit(1)).alias("k")).where("k > 1")
 
     @F.pandas_udf("map<string,string>")
     def persons(lists: pd.Series) -> pd.Series:
+        """Number -> the number it is one typo from, among those of a state; "" -> the most frequent one."""
+
         def one(nums) -> dict[str, str]:
             out: dict[str, str] = {}
             heads: list[str] = []
@@ -441,10 +486,15 @@ def entities(df: DataFrame, row_id: str, name: str, oab: str, document: str) ->
 
         return lists.map(one)
 
-    split = state.select("root", "state", persons("nums").alias("of"))
-    num = F.when(F.col("reg.state") == F.col("state"), F.col("reg.num")).otherwise(F.lit(""))
-    person = F.coalesce(F.try_element_at("of", F.coalesce(num, F.lit(""))), F.lit(""))
-    return rows.join(split, "root", "left").select("id", F.concat_ws("#", "root", person).alias("entity"))
+    # A root is parted by each of its states in which there are several numbers. A row holds one registration at most, so in a
+    # state it says nothing about it goes with the more frequent person; rows apart in any state are persons apart.
+    split = nums.select("root", "state", persons("nums").alias("of")).where(F.size(F.array_distinct(F.map_values("of"))) > 1)
+    split = split.groupBy("root").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("state", F.to_json("of").alias("of"))))).alias("states"))
+    number = lambda state, of: F.coalesce(
+        F.try_element_at(F.from_json(of, "map<string,string>"), F.when(F.col("reg.state") == state, F.col("reg.num")).otherwise(F.lit(""))), F.lit("")
+    )
+    person = F.array_join(F.map_values(F.transform_values("states", number)), "/")
+    return rows.join(split, "root", "left").select("id", F.concat_ws("#", "root", F.coalesce(person, F.lit(""))).alias("entity"))
 
 
 def same_entity_pairs(found: DataFrame) -> DataFrame:
