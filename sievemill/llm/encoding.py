@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievemill.session import cut
+
 #: A value without any of these can't be told from genuine text: characters
 #: that aren't ASCII, question marks, entities and escapes.
 SUSPECT = r"[^\x00-\x7F]|\?|&#?\w+;|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}"
@@ -28,13 +30,13 @@ _TRIGRAM = r"(?s)(?=(.?[^\x00-\x7F].?))"
 ESCAPES = r"&#?\w+;|%[0-9A-Fa-f]{2}|\\[ux][0-9A-Fa-f]{2}"
 #: A text must be cheaper by this many bits.
 MARGIN = 4.5
-#: A value of trigrams that occur COMMON_ROWS times and have a share of one in COMMON each isn't searched.
-COMMON, COMMON_ROWS = 6000, 30
+#: A value isn't searched if each of its trigrams surely (by three deviations of its count) has a share of one in COMMON.
+COMMON = 6000
 _GRAMS = re.compile(r"(?s)(?=(.?[^\x00-\x7F].?))")
 #: Beside Latin letters, ordinals and common signs: never skipped.
 _FOREIGN = re.compile("[^\x00-\x7f\xa0\xa7\xaa\xb0\xba\xc0-\xd6\xd8-\xf6\xf8-\xff\u2013\u2014\u2018\u2019\u201c\u201d]")
 _CASE_MIX = re.compile("[a-z][\xc0-\xd6\xd8-\xde]|[A-Z][\xdf-\xf6\xf8-\xfe][A-Z]")
-#: Trigrams with at least this share of all are kept; there are at most 1 / LEAST_SHARE of them.
+#: Trigrams of a lesser share count as unseen, at every size of the corpus; at most 1 / LEAST_SHARE are kept.
 LEAST_SHARE = 1e-5
 _CODECS = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman")
 #: Encoded as the first and wrongly decoded as the second; undone in reverse.
@@ -160,7 +162,7 @@ class Plausibility:
             chars[middle] = chars.get(middle, 0) + n
         self.chars = chars
         self.cost = lru_cache(maxsize=50_000)(self._cost)
-        self.common = frozenset(g for g, n in counts.items() if n >= COMMON_ROWS and n * COMMON >= self.total)
+        self.common = frozenset(g for g, n in counts.items() if (n - 3 * math.sqrt(n)) * COMMON >= self.total)
 
     def all_common(self, text: str) -> bool:
         """True if each trigram is so frequent that the text needs no search."""
@@ -283,6 +285,7 @@ def learn(values: DataFrame, value: str) -> Plausibility:
     grams = F.transform(F.regexp_extract_all(low, F.lit(_TRIGRAM), F.lit(1)), lambda g: F.concat(F.lit("g"), g))
     finals = F.transform(F.regexp_extract_all(low, F.lit(r"(?<![\p{L}])([a-z]{1,30})[ªºÀ-ſ](?![\p{L}])"), F.lit(1)), lambda w: F.concat(F.lit("w"), w))
     counted = values.where(F.col(value).rlike(r"[^\x00-\x7F]")).select(F.explode(F.array_distinct(F.concat(grams, finals))).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut(counted)
     total = counted.agg(F.sum(F.when(F.col("e").startswith("g"), F.col("n")).otherwise(0)).alias("t")).first()["t"] or 0
     kept = counted.where(F.col("n") >= max(1, math.ceil(total * LEAST_SHARE))).collect()
     counts = {r["e"][1:]: r["n"] for r in kept if r["e"][0] == "g"}

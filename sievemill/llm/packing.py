@@ -14,11 +14,12 @@ import bisect
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemill.functions.text import BLANKS
+from sievemill.operators.checks import running_totals
 from sievemill.session import cut
 
 #: Tokens per partition: a group of this size is packed by one task.
@@ -141,11 +142,12 @@ def pack(
         pairs = F.create_map(*(F.lit(x) for kv in shares.items() for x in kv)) if shares else F.lit(None).cast("map<string,double>")
         target = whole.select("source", F.coalesce(F.try_element_at(pairs, F.col("source")), F.lit(0.0)).alias("share"))
     # What each partition takes over: the target share of all tokens before it less the tokens of the source before it.
-    sums = totals.groupBy("part").agg(F.sum("tokens").alias("part_tokens"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = sums.select("part", F.coalesce(F.sum("part_tokens").over(before), F.lit(0)).alias("tokens_before"))
-    own = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.withColumn("own_before", F.coalesce(F.sum("tokens").over(own), F.lit(0))).join(ahead, "part").join(target, "source")
+    totals = cut(totals)
+    ahead = running_totals(totals.groupBy("part").agg(F.sum("tokens").alias("part_tokens")), ["part"], {"tokens_before": F.col("part_tokens")}).select("part", "tokens_before")
+    # Summed over (source, part) in order; what a source had before its first part is its least sum.
+    laid = cut(running_totals(totals, ["source", "part"], {"so_far": F.col("tokens")}))
+    begun = laid.groupBy("source").agg(F.min("so_far").alias("start"))
+    carried = laid.join(begun, "source").withColumn("own_before", F.col("so_far") - F.col("start")).join(ahead, "part").join(target, "source")
     carried = carried.groupBy(F.col("part").alias("of_part")).agg(
         F.map_from_entries(F.collect_list(F.struct("source", (F.col("share") * F.col("tokens_before") - F.col("own_before")).alias("v")))).alias("carried"),
         F.map_from_entries(F.collect_list(F.struct("source", F.col("share").cast("double").alias("v")))).alias("shares"),
@@ -164,7 +166,24 @@ def pack(
         })
 
     packed = cut(pieces.groupBy("part").cogroup(carried.groupBy("of_part")).applyInPandas(pack_part, schema))
-    first = packed.groupBy("part").agg((F.max("own") + 1).alias("k"))
-    first = first.select("part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("first"))
+    sized_parts = packed.groupBy("part").agg((F.max("own") + 1).alias("k"))
+    first = running_totals(sized_parts, ["part"], {"first": F.col("k")}).select("part", "first")
     numbered = packed.join(first, "part")
     return numbered.select(F.col("doc").alias(doc_id), "piece", "first_token", "n_tokens", "source", (F.col("first") + F.col("own")).alias("container"))
+
+
+def mixture(packed: DataFrame, stretch: int = 100) -> DataFrame:
+    """How each stretch of consecutive containers is mixed: ``stretch, source, share, target``.
+
+    ``share`` is the source's part of the stretch's tokens, ``target`` its
+    part of all tokens. Only whole stretches are reported, as the last one
+    holds what is left over.
+    """
+    last = packed.agg(F.max("container").alias("m")).first()["m"]
+    per = cut(packed.groupBy(F.floor(F.col("container") / stretch).alias("stretch"), "source").agg(F.sum("n_tokens").alias("n")))
+    whole = per.groupBy("stretch").agg(F.sum("n").alias("all"))
+    overall = per.groupBy("source").agg(F.sum("n").alias("of_source"))
+    total = per.agg(F.sum("n").alias("t")).first()["t"]
+    grid = whole.withColumn("k", F.lit(1)).join(overall.withColumn("k", F.lit(1)), "k").join(per, ["stretch", "source"], "left")
+    kept = grid.where((F.col("stretch") + 1) * stretch <= F.lit(0 if last is None else last + 1))
+    return kept.select("stretch", "source", (F.coalesce("n", F.lit(0)) / F.col("all")).alias("share"), (F.col("of_source") / F.lit(total)).alias("target"))

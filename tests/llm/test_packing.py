@@ -65,3 +65,18 @@ def test_public_vocabularies_agree(spark):
     a = rows(P.count_tokens(df, "text", f"{folder}/byte_bpe_50k.json").select("id", "n_tokens"))
     assert a == rows(P.count_tokens(df, "text", VOCABULARY).select("id", "n_tokens"))
     assert P.count_tokens(df, "text", f"{folder}/piece_bpe_32k.model").where("n_tokens > 0").count() == 1
+
+
+@needs
+def test_mixture_over_partitions(spark):
+    """Stretches of containers keep the proportions across the bounds of partitions, where deficits are handed on."""
+    rnd = random.Random(3)
+    texts = [(k, "palavra " * rnd.randint(5, 60), rnd.choice("aaabbc")) for k in range(3000)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, source string")
+    out = P.pack(df, "doc_id", "text", "source", VOCABULARY, 256, partition_tokens=12_000)
+    mix = P.mixture(out, 20).toPandas()
+    assert mix.stretch.nunique() > 10 and (abs(mix.share - mix.target) < 0.06).all()
+    assert abs(mix.groupby("stretch").share.sum() - 1).max() < 1e-9
+    load = out.groupBy("container").agg(F.sum("n_tokens").alias("n")).toPandas()
+    assert load.n.max() <= 256 and sorted(load.container) == list(range(len(load)))
+    assert P.mixture(out.where("false")).count() == 0
