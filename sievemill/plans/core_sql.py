@@ -196,3 +196,27 @@ select tbl, field, seq, pos, state, strftime(instant at time zone 'UTC', '%Y-%m'
 from (select * from a union all select * from b union all select * from p) where state is not null"""
 
 ORACLES["p4_report"] = f"select tbl, field, state, month_utc, count(*) as n from ({ORACLES['p4_found']}) group by all"
+
+
+def _unstring(x: str) -> str:
+    return f"(case when json_type({x}) = 'VARCHAR' then case when json_valid({x} ->> '$') then cast({x} ->> '$' as json) end else {x} end)"
+
+
+_EMPTY = "cast([] as json[])"
+ORACLES["p6_found"] = rf"""
+with l as (select line_id, regexp_replace(line, '^[\s\x{{FEFF}}\x{{00A0}}]+|[\s\x{{FEFF}}\x{{00A0}}]+$', '', 'g') as t from case_lines),
+j as (select line_id, cast(t as json) as j from l where json_valid(t)),
+r0 as (select line_id, coalesce({_unstring("json_extract(j, '$.case')")}, {_unstring("json_extract(j, '$.record')")}, j) as r from j where json_type(j) = 'OBJECT'),
+f0 as (select line_id, n.child, json_extract(r, '$.' || n.name) as v from r0, (values ('activeparties', 'activeParties'), ('passiveparties', 'passiveParties'), ('movements', 'movements'), ('documents', 'documents')) n(child, name) where json_type(r) = 'OBJECT'),
+f as (select line_id, child, {_unstring('v')} as v from f0),
+i as (
+  select line_id, child, case
+    when json_type(v) = 'ARRAY' then json_extract(v, '$[*]')
+    when json_type(v) = 'OBJECT' and json_type(json_extract(v, '$.pages')) = 'ARRAY' then flatten(list_transform(
+      list_sort(list_transform(json_extract(v, '$.pages[*]'), lambda p, k: {{'n': coalesce(try_cast(p ->> '$.page' as bigint), k - 1), 'k': k, 'r': json_extract({_unstring("json_extract(p, '$.rows')")}, '$[*]')}})), lambda x: coalesce(x.r, {_EMPTY})))
+    when json_type(v) = 'OBJECT' and json_type({_unstring("json_extract(v, '$.items')")}) = 'ARRAY' then json_extract({_unstring("json_extract(v, '$.items')")}, '$[*]')
+    when json_type(v) = 'OBJECT' then [v] end as items from f),
+e as (select line_id, child, cast(g.g as integer) as pos, items[g.g + 1] as e from i, lateral (select unnest(range(0, len(items))) as g) g),
+d as (select line_id, pos, {_unstring("json_extract(e, '$.download')")} as d from e where child = 'documents' and json_type(e) = 'OBJECT')
+select line_id, child, pos from e where json_type(e) = 'OBJECT' and len(json_keys(e)) > 0
+union all select line_id, 'downloads', pos from d where json_type(d) = 'OBJECT' and len(list_filter(json_keys(d), lambda k: json_type(json_extract(d, '$."' || k || '"')) <> 'NULL')) > 0"""
