@@ -1,6 +1,7 @@
 """Variant spellings of names typed by people.
 
-Noisy-channel attribution: spellings are brought to bags of tokens; frequent
+Noisy-channel attribution: short forms of names are learnt from what stands
+under one registration; spellings are brought to bags of tokens; frequent
 and complete spellings are candidate canonical forms; the likelihood of a
 variant under a form is built from typos, abbreviations, nicknames and
 dropped words, and is joined with the form's frequency as prior. Each variant
@@ -14,6 +15,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pandas as pd
@@ -24,19 +26,13 @@ from pyspark.sql import functions as F
 from sievemill.llm import encoding
 from sievemill.session import cut
 
-#: Portuguese short forms of given names and spellings of one sound. Fixed values.
+#: Common Portuguese short forms of given names and spellings of one sound. Fixed values; further ones are learnt.
 NICKNAMES = {
-    "ALEX": ("ALEXANDRE",), "ANINHA": ("ANA",), "BEL": ("ISABEL", "IZABEL"), "BETO": ("ROBERTO", "ALBERTO"), "BIA": ("BEATRIZ",), "BIEL": ("GABRIEL",), "BIU": ("SEVERINO",),
-    "CACA": ("CARLOS",), "CARLINHOS": ("CARLOS",), "CEICA": ("CONCEICAO",), "CHICA": ("FRANCISCA",), "CHICO": ("FRANCISCO",), "DANI": ("DANIEL", "DANIELA"),
-    "DUDA": ("EDUARDA", "EDUARDO"), "DUDU": ("EDUARDO",), "EDU": ("EDUARDO",), "FABINHO": ("FABIO",), "FELIPINHO": ("FELIPE",), "GABI": ("GABRIELA",),
-    "GEGE": ("GETULIO",), "GUGA": ("GUSTAVO",), "GUIDA": ("MARGARIDA",), "GUTO": ("AUGUSTO", "GUSTAVO"), "IZABEL": ("ISABEL",),
-    "JANJO": ("JOAO",), "JOCA": ("JOAO", "JORGE", "JOSE"), "JU": ("JULIA", "JULIANA"), "LENA": ("HELENA", "ROSELENA", "MADALENA"),
-    "LEO": ("LEONARDO",), "LU": ("LUCIA", "LUCIANA"), "LUCA": ("LUCAS",), "LUIS": ("LUIZ",), "LULA": ("LUIZ", "LUIS"), "MANE": ("MANOEL", "MANUEL"),
-    "MANU": ("MANUELA", "MANOEL"), "MANUEL": ("MANOEL",), "MARI": ("MARIANA",), "MARIINHA": ("MARIA",), "MUNDINHO": ("RAIMUNDO",),
-    "NANDA": ("FERNANDA",), "NANDO": ("FERNANDO",), "PATI": ("PATRICIA",), "PEDRINHO": ("PEDRO",), "RAFA": ("RAFAEL", "RAFAELA"),
-    "RODRIGUINHO": ("RODRIGO",), "SEBA": ("SEBASTIAO",), "TECA": ("TEREZINHA", "TERESA"), "TIAGO": ("THIAGO",), "TIAO": ("SEBASTIAO",),
-    "TONHO": ("ANTONIO",), "TONICA": ("ANTONIA",), "TONINHO": ("ANTONIO",), "VALERINHA": ("VALERIA",), "VINI": ("VINICIUS",),
-    "XANDE": ("ALEXANDRE",), "ZE": ("JOSE",), "ZECA": ("JOSE",), "ZEZE": ("JOSE", "MARIA"),
+    "ALEX": ("ALEXANDRE",), "BEL": ("ISABEL", "IZABEL"), "BIEL": ("GABRIEL",), "BIU": ("SEVERINO",), "CACA": ("CARLOS",), "CEICA": ("CONCEICAO",), "BETO": ("ROBERTO", "ALBERTO"), "BIA": ("BEATRIZ",), "CHICA": ("FRANCISCA",), "CHICO": ("FRANCISCO",), "DANI": ("DANIEL", "DANIELA"),
+    "DUDA": ("EDUARDA", "EDUARDO"), "DUDU": ("EDUARDO",), "EDU": ("EDUARDO",), "GABI": ("GABRIELA",), "GEGE": ("GETULIO",), "GUIDA": ("MARGARIDA",), "GUGA": ("GUSTAVO",), "GUTO": ("AUGUSTO", "GUSTAVO"), "IZABEL": ("ISABEL",),
+    "JOCA": ("JOAO", "JORGE", "JOSE"), "JU": ("JULIA", "JULIANA"), "LENA": ("HELENA", "MADALENA"), "LEO": ("LEONARDO",), "LU": ("LUCIA", "LUCIANA"), "LUIS": ("LUIZ",), "LULA": ("LUIZ", "LUIS"),
+    "MANE": ("MANOEL", "MANUEL"), "MANU": ("MANUELA", "MANOEL"), "MANUEL": ("MANOEL",), "MARI": ("MARIANA",), "MUNDINHO": ("RAIMUNDO",), "NANDA": ("FERNANDA",), "NANDO": ("FERNANDO",), "PATI": ("PATRICIA",), "RAFA": ("RAFAEL", "RAFAELA"),
+    "TECA": ("TEREZINHA", "TERESA"), "TIAGO": ("THIAGO",), "TIAO": ("SEBASTIAO",), "TONHO": ("ANTONIO",), "TONICA": ("ANTONIA",), "TONINHO": ("ANTONIO",), "SEBA": ("SEBASTIAO",), "VINI": ("VINICIUS",), "XANDE": ("ALEXANDRE",), "ZE": ("JOSE",), "ZECA": ("JOSE",), "ZEZE": ("JOSE", "MARIA"),
 }
 TITLES = frozenset("DR DRA ADV SR SRA DOUTOR DOUTORA PROF PROFA EXMO EXMA".split())
 CONNECTORS = frozenset("DE DA DO DAS DOS E DI DU".split())
@@ -53,6 +49,7 @@ TOWN = frozenset("MUNICIPIO PREFEITURA MUNICIPAL FAZENDA MUN MUNIC PREF".split()
 SHORT_TRADE = frozenset("IMP EXP COM IND SERV DISTRIB EMPREEND CONSTR TRANSP".split())
 #: Blocks of more forms than this are split by the letters of what else the forms hold, then compared in chunks of this size.
 CHUNK = 300
+_SHARED_BLOCKS = 2_000_000
 
 
 class Name(NamedTuple):
@@ -105,12 +102,19 @@ def parse(name: str) -> Name:
     return Name(tuple(sorted(words)), tuple(sorted(initials)), ending, legal, tuple(sorted(set(trade))), tuple(sorted(set(office))))
 
 
+_UNREADABLE = frozenset("?\ufffd")
+
+
 def edits(a: str, b: str, limit: int = 2) -> int:
     """Edit distance with swaps of neighbours, up to ``limit`` + 1; unreadable characters match any."""
     if a == b:
         return 0
     if abs(len(a) - len(b)) > limit:
         return limit + 1
+    # One edit brings one letter more to either word at most.
+    own, other = set(a), set(b)
+    if (len(own - other) > limit or len(other - own) > limit) and not (own | other) & _UNREADABLE:
+        return limit + 1
     before2: list[int] = []
     before = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -127,14 +131,24 @@ def edits(a: str, b: str, limit: int = 2) -> int:
     return before[-1]
 
 
-def _short_for(a: str, b: str) -> bool:
-    return b in NICKNAMES.get(a, ()) or a in NICKNAMES.get(b, ())
+def _diminutive(a: str, b: str) -> bool:
+    """Whether ``a`` is the diminutive of ``b``: PEDRINHO of PEDRO, CARLINHOS of CARLOS."""
+    return a.endswith(("INHO", "INHA", "INHOS")) and len(stem := re.sub(r"[AEIOU]+S?$", "", b)) >= 2 and a.removesuffix("S")[:-4] in (stem, f"{stem}U", f"{stem}I")
+
+
+def _short_for(a: str, b: str, learnt: dict[str, tuple[str, ...]]) -> bool:
+    return any(x in NICKNAMES.get(y, ()) or x in learnt.get(y, ()) or _diminutive(y, x) for x, y in ((a, b), (b, a)))
+
+
+def _full_forms(word: str, learnt: dict[str, tuple[str, ...]]) -> tuple[str, ...]:
+    return (*NICKNAMES.get(word, ()), *learnt.get(word, ()))
 
 
-def likelihood(v: Name, c: Name, counts: dict[str, int]) -> float | None:
+def likelihood(v: Name, c: Name, counts: dict[str, int], learnt: dict[str, tuple[str, ...]] | None = None) -> float | None:
     """Log-likelihood of the variant ``v`` under the form ``c``, None if it can't be one.
 
-    ``counts`` has the rows per word. Two words are a typo of one another only
+    ``counts`` has the rows per word, ``learnt`` the short forms found in the
+    data with what they stand for. Two words are a typo of one another only
     if one of them is rare beside the other: frequent words that differ in a
     letter (a man's and a woman's name) are different names.
     """
@@ -146,6 +160,7 @@ def likelihood(v: Name, c: Name, counts: dict[str, int]) -> float | None:
         return None
     if v.trade and c.trade and not set(v.trade) & set(c.trade):
         return None
+    learnt = learnt or {}
     corporate = bool(c.legal or c.trade or c.office or v.legal or v.trade or v.office)
     cost = 1.5 * (v.legal != c.legal) + 1.5 * (v.trade != c.trade) + 1.5 * (v.office != c.office)
     left_v, left_c = list(v.words), list(c.words)
@@ -159,7 +174,7 @@ def likelihood(v: Name, c: Name, counts: dict[str, int]) -> float | None:
     for w in list(left_v):
         best = None
         for x in left_c:
-            if _short_for(w, x):
+            if _short_for(w, x, learnt):
                 best = (3.0, x, 0)
                 break
             d = edits(w, x, 2 if min(len(w), len(x)) >= 8 else 1)
@@ -222,9 +237,9 @@ def likelihood(v: Name, c: Name, counts: dict[str, int]) -> float | None:
     return -cost
 
 
-def rank(n: Name, rows: int, counts: dict[str, int]) -> tuple:
+def rank(n: Name, rows: int, counts: dict[str, int], learnt: dict[str, tuple[str, ...]] | None = None) -> tuple:
     """The order of canonical forms: complete before abbreviated, frequent before rare."""
-    nick = sum(w in NICKNAMES for w in n.words)
+    nick = sum(w in NICKNAMES or w in (learnt or {}) or w.endswith(("INHO", "INHA", "INHOS")) for w in n.words)
     parts = len(n.words) - nick + 0.5 * bool(n.legal) + 0.5 * bool(n.trade) + 0.5 * bool(n.office)
     return (parts, rows, sum(math.log(counts.get(w, 1)) for w in n.words), n.key())
 
@@ -239,7 +254,7 @@ def _skeleton(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub(r"[AEIOUYHC?\uFFFD]", "", word))
 
 
-def block_keys(n: Name, counts: dict[str, int]) -> list[str]:
+def block_keys(n: Name, counts: dict[str, int], learnt: dict[str, tuple[str, ...]] | None = None) -> list[str]:
     """The blocks of a spelling: all pairs of words, however frequent.
 
     Short forms of given names also stand for the names. For the two rarest
@@ -247,13 +262,14 @@ def block_keys(n: Name, counts: dict[str, int]) -> list[str]:
     typo in one of only two words still meets, and the pair of consonant
     skeletons, for typos in both.
     """
+    learnt = learnt or {}
     words = sorted({w for w in n.words if len(w) >= 3}, key=lambda w: (counts.get(w, 1), w))
     out = set()
     for i, a in enumerate(words):
         for b in words[i + 1 :]:
-            out |= {f"{min(x, y)} {max(x, y)}" for x in (a, *NICKNAMES.get(a, ())) for y in (b, *NICKNAMES.get(b, ()))}
+            out |= {f"{min(x, y)} {max(x, y)}" for x in (a, *_full_forms(a, learnt)) for y in (b, *_full_forms(b, learnt))}
     if len(n.words) == 2 and len(n.words[0]) == 2:
-        out |= {f"{min(x, n.words[1])} {max(x, n.words[1])}" for x in NICKNAMES.get(n.words[0], ())}
+        out |= {f"{min(x, n.words[1])} {max(x, n.words[1])}" for x in _full_forms(n.words[0], learnt)}
     if len(words) >= 2:
         for keep, gone in ((words[0], words[1]), (words[1], words[0]), *(((words[-1], words[0]), (words[-1], words[1])) if len(words) == 3 else ())):
             if len(gone) >= 5:
@@ -267,7 +283,7 @@ def block_keys(n: Name, counts: dict[str, int]) -> list[str]:
     return sorted(out)
 
 
-def split_keys(n: Name, key: str) -> list[str]:
+def split_keys(n: Name, key: str, learnt: dict[str, tuple[str, ...]] | None = None) -> list[str]:
     """The parts of a block that is too large in which a form belongs: by the first letters of what it holds beside the block's words.
 
     Two forms that fit have a further word or initial in common, if they
@@ -276,8 +292,9 @@ def split_keys(n: Name, key: str) -> list[str]:
     the first two of the other.
     """
     inside = set(key.replace("-", " ").replace("=", " ").split()) if key[0] != "~" else set()
-    rest = [w for w in n.words if w not in inside and not any(x in inside for x in NICKNAMES.get(w, ()))]
-    letters = {c for w in rest for x in (w, *NICKNAMES.get(w, ())) for c in (x[:2] if len(x) > 1 else x)} | set(n.initials)
+    learnt = learnt or {}
+    rest = [w for w in n.words if w not in inside and not any(x in inside for x in _full_forms(w, learnt))]
+    letters = {c for w in rest for x in (w, *_full_forms(w, learnt)) for c in (x[:2] if len(x) > 1 else x)} | set(n.initials)
     return [f"{key} {c}" for c in sorted(letters)] or [f"{key} *"]
 
 
@@ -287,10 +304,12 @@ def compare(a: str, b: str) -> tuple[bool, float] | None:
     The higher form by :func:`rank` is the canonical one. The score is the
     log-likelihood of the variant plus the log of the form's rows.
     """
-    (ka, na, ca), (kb, nb, cb) = _counted(a), _counted(b)
-    x, y, counts = from_key(ka), from_key(kb), ca | cb
-    first = rank(x, na, ca) < rank(y, nb, cb)
-    fit = likelihood(x, y, counts) if first else likelihood(y, x, counts)
+    (x, na, ca, la, ra), (y, nb, cb, lb, rb) = _counted(a), _counted(b)
+    if x.ending != y.ending:
+        return None
+    counts, learnt = ca | cb, la | lb
+    first = ra < rb
+    fit = likelihood(x, y, counts, learnt) if first else likelihood(y, x, counts, learnt)
     return None if fit is None else (first, fit + math.log(nb if first else na))
 
 
@@ -303,11 +322,52 @@ def registration(oab: Column) -> Column:
     return F.when((num != "") & (state != ""), F.struct(state.alias("state"), num.alias("num")))
 
 
-def _counted(line: str) -> tuple[str, int, dict[str, int]]:
-    """A member of a block: key, rows, rows of each word, parted by tabs."""
-    key, rows, counts = line.split("\t")
-    words = from_key(key).words
-    return key, int(rows), dict(zip(words, map(int, counts.split(",") if counts else []), strict=False))
+@lru_cache(maxsize=50_000)
+def _counted(line: str) -> tuple[Name, int, dict[str, int], dict[str, tuple[str, ...]], tuple]:
+    """A form's line, parted by tabs: its name, rows, rows of each word, what its words are learnt to be short for, and its rank."""
+    key, rows, counts, short = line.split("\t")
+    name = from_key(key)
+    full = (x.split("=") for x in short.split(";") if x)
+    of_words, learnt = dict(zip(name.words, map(int, counts.split(",") if counts else []), strict=False)), {w: tuple(f.split(",")) for w, f in full}
+    return name, int(rows), of_words, learnt, rank(name, int(rows), of_words, learnt)
+
+
+def learn_short_forms(keyed: DataFrame, marks: DataFrame, least: int = 2, share: float = 0.3) -> DataFrame:
+    """Words that stand for other words under one registration or tax number: ``word, full`` (an array).
+
+    ``keyed`` has ``id, key``, ``marks`` ``id, reg, tax``. Under each mark
+    every form is held against the most frequent one. Where two forms differ
+    in one word each, no typo of one another, and agree in another, the
+    rarer word stands for the other. Pairs of at least ``least`` marks that
+    make up ``share`` of what the word stands for are kept.
+    """
+    of = marks.select("id", F.explode(F.array(F.concat(F.lit("r"), F.col("reg.state"), F.col("reg.num")), F.concat(F.lit("t"), "tax"))).alias("mark")).where("mark is not null")
+    held = of.join(keyed, "id").groupBy("mark", "key").agg(F.count(F.lit(1)).alias("n"))
+    heads = held.groupBy("mark").agg(F.max(F.struct("n", "key")).alias("h"), F.count(F.lit(1)).alias("k")).where("k > 1").select("mark", F.col("h.key").alias("head"))
+    both = held.join(heads, "mark").where("key <> head")
+
+    @F.pandas_udf("word string, full string")
+    def differing(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        def one(x: str, y: str) -> tuple[str | None, str | None]:
+            v, c = from_key(x), from_key(y)
+            only_v, only_c = [w for w in v.words if w not in c.words], [w for w in c.words if w not in v.words]
+            if len(only_v) != 1 or len(only_c) != 1 or len(v.words) < 2 or v.ending != c.ending or v.legal or c.legal or edits(only_v[0], only_c[0], 2) <= 2:
+                return None, None
+            return only_v[0], only_c[0]
+
+        return pd.DataFrame([one(x, y) for x, y in zip(a, b, strict=True)], columns=["word", "full"]).astype("object")
+
+    pairs = both.select("mark", differing("key", "head").alias("d")).where("d.word is not null").groupBy("d.word", "d.full").agg(F.count_distinct("mark").alias("n"))
+    # Seen both ways round; the word of fewer rows is the short form.
+    pairs = cut(pairs.where("word is not null").groupBy(F.least("word", "full").alias("a"), F.greatest("word", "full").alias("b")).agg(F.sum("n").alias("n")))
+    named = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+    rows = keyed.select(F.explode(F.split(F.split("key", r"\|")[0], " ")).alias("w")).join(named, "w").groupBy("w").agg(F.count(F.lit(1)).alias("rows"))
+    sized = pairs.join(rows.withColumnsRenamed({"w": "a", "rows": "rows_a"}), "a").join(rows.withColumnsRenamed({"w": "b", "rows": "rows_b"}), "b")
+    rarer = (F.col("rows_a") < F.col("rows_b")) | (F.col("rows_a") == F.col("rows_b")) & (F.length("a") <= F.length("b"))
+    pairs = sized.select(F.when(rarer, F.col("a")).otherwise(F.col("b")).alias("word"), F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("full"), "n")
+    whole = pairs.groupBy("word").agg(F.sum("n").alias("all"))
+    kept = pairs.join(whole, "word").where((F.col("n") >= least) & (F.col("n") >= share * F.col("all")))
+    return kept.groupBy("word").agg(F.sort_array(F.collect_set("full")).alias("full"))
 
 
 def spellings(df: DataFrame, row_id: str, name: str) -> DataFrame:
@@ -343,11 +403,17 @@ def _pointers(parents: DataFrame, child: str = "child", parent: str = "parent")
 
 def _paired(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of forms in blocks of at most CHUNK, and the entries of larger blocks: (pairs, rest)."""
-    sized = entries.join(entries.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "block")
-    sized = cut(sized)
+    sizes = cut(entries.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("a"), F.max("id").alias("b")).where("size > 1"))
+    # Most blocks hold two forms: those are the least and the greatest id.
+    twos = sizes.where("size = 2").select("a", "b")
+    more = sizes.where("size > 2").select("block", "size")
+    # Up to so many blocks (some 32 MB) their hashes go to the entries, beyond that both are shuffled.
+    if more.limit(_SHARED_BLOCKS + 1).count() <= _SHARED_BLOCKS:
+        more = F.broadcast(more)
+    sized = cut(entries.join(more, "block"))
     small = sized.where(F.col("size") <= CHUNK).select("block", "id")
     pairs = small.select("block", F.col("id").alias("a")).join(small.select("block", F.col("id").alias("b")), "block").where("a < b").select("a", "b")
-    return pairs, sized.where(F.col("size") > CHUNK).select("block", "id", "size")
+    return twos.unionByName(pairs), sized.where(F.col("size") > CHUNK).select("block", "id", "size")
 
 
 def _block_hash(key: str) -> int:
@@ -365,17 +431,17 @@ def candidates(lines: DataFrame) -> DataFrame:
     @F.pandas_udf("array<bigint>")
     def blocks(given: pd.Series) -> pd.Series:
         def one(line: str) -> list[int]:
-            key, _, counts = _counted(line)
-            return list(map(_block_hash, block_keys(from_key(key), counts)))
+            name, _, counts, learnt, _ = _counted(line)
+            return list(map(_block_hash, block_keys(name, counts, learnt)))
 
         return given.map(one)
 
     @F.pandas_udf("array<bigint>")
     def parts(given: pd.Series, large: pd.Series) -> pd.Series:
         def one(line: str, hashes) -> list[int]:
-            key, _, counts = _counted(line)
-            name, wanted = from_key(key), set(hashes)
-            return sorted({_block_hash(p) for k in block_keys(name, counts) if _block_hash(k) in wanted for p in split_keys(name, k)})
+            name, _, counts, learnt, _ = _counted(line)
+            wanted = set(hashes)
+            return sorted({_block_hash(p) for k in block_keys(name, counts, learnt) if _block_hash(k) in wanted for p in split_keys(name, k, learnt)})
 
         return pd.Series([one(x, h) for x, h in zip(given, large, strict=True)])
 
@@ -392,18 +458,23 @@ def candidates(lines: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def attribute(keyed: DataFrame) -> DataFrame:
+def attribute(keyed: DataFrame, short_forms: DataFrame) -> DataFrame:
     """Attach each spelling to its canonical form: ``key, root``.
 
-    ``keyed`` has one row per record with ``key``. Spellings are counted
+    ``keyed`` has one row per record with ``key``, ``short_forms`` is what
+    :func:`learn_short_forms` gives. Spellings are counted
     first, so a name may hold any share of the rows. The pairs that meet in
     some block are scored once each; the best parent over all of them holds.
     """
     forms = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("id", F.monotonically_increasing_id()))
     words = forms.select("id", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
-    counted = words.join(words.groupBy("word").agg(F.sum("n").alias("c")), "word")
-    listed = counted.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"))
-    lines = cut(forms.join(listed, "id", "left").select("id", F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit(""))).alias("line")))
+    known = words.groupBy("word").agg(F.sum("n").alias("c")).join(short_forms, "word", "left")
+    known = known.select("word", "c", F.when(F.col("full").isNotNull(), F.concat("word", F.lit("="), F.array_join("full", ","))).alias("short"))
+    listed = words.join(known, "word").groupBy("id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"), F.array_join(F.sort_array(F.collect_set("short")), ";").alias("short")
+    )
+    line = F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit("")), F.coalesce("short", F.lit("")))
+    lines = cut(forms.join(listed, "id", "left").select("id", line.alias("line")))
 
     @F.pandas_udf("first boolean, score double")
     def scored(a: pd.Series, b: pd.Series) -> pd.DataFrame:
@@ -456,11 +527,11 @@ def entities(df: DataFrame, row_id: str, name: str, oab: str, document: str) ->
     an empty table gives an empty result.
     """
     keyed = cut(spellings(df, row_id, name))
-    forms = attribute(keyed)
     marks = df.select(
         F.col(row_id).alias("id"), registration(F.col(oab)).alias("reg"),
         F.nullif(F.regexp_replace(F.col(document), "[^0-9]", ""), F.lit("")).alias("tax"),
     )
+    forms = attribute(keyed, learn_short_forms(keyed, marks.dropDuplicates(["id"])))
     rows = cut(keyed.join(forms, "key").join(marks.dropDuplicates(["id"]), "id").select("id", "root", "reg", "tax"))
     for mark in ("tax", "reg"):
         up = _pointers(_join_by(rows, mark))

@@ -70,3 +70,31 @@ def test_words_of_frequent_names_make_pairs():
     name = N.parse("LUCIA INACIO VENNELAMEDO MONLADOREDO")
     keys = N.block_keys(name, dict.fromkeys(name.words, 50_000))
     assert {"LUCIA MONLADOREDO", "INACIO LUCIA", "INACIO MONLADOREDO"} <= set(keys)
+
+
+def test_short_forms_are_learnt_from_shared_marks(spark):
+    """A short form no list has, seen under shared registrations, links names that share none."""
+    data = []
+    for k in range(4):
+        data += [(10 * k, f"WANDERGILSON ALFOM{k}BRAO MUN{k}DORIM", f"PE10{k}7{k}", None), (10 * k + 1, f"GILSINHO ALFOM{k}BRAO MUN{k}DORIM".replace("GILSINHO", "DERGO"), f"PE10{k}7{k}", None)]
+    data += [(100, "WANDERGILSON QUARPETAO LINDROSAL", None, None), (101, "DERGO QUARPETAO LINDROSAL", None, None), (102, "TADEU QUARPETAO LINDROSAL", None, None)]
+    got = _entities(spark, data)
+    assert [100, 101] in got and [102] in got
+    assert N._diminutive("PEDRINHO", "PEDRO") and N._diminutive("CARLINHOS", "CARLOS") and N._diminutive("ANINHA", "ANA") and not N._diminutive("MARINHO", "PEDRO")
+
+
+def test_hot_block_is_split_and_keeps_its_pairs(spark, monkeypatch):
+    """Forms that share two frequent words: all meet whom they fit, typo, initial, nickname or dropped word, however large the block."""
+    third = [f"{a}{b}LDORIMAU" for a in "BCDFGHJKLM" for b in "AEIOU"]
+    data = [(k, f"MARIA SILVA {w}", None, None) for k, w in enumerate(third) for _ in range(3)]
+    data = [(3 * k + i, *r[1:]) for k, r in enumerate(data[::3]) for i in range(3)]
+    data += [(900, "MARIA SILVA BALDORIMU", None, None), (901, "MARIA SILVA CEDLORIMAU", None, None), (902, "MARIA F. SILVA XUNDERBAL", None, None), (903, "MARIA FRANCISCA SILVA XUNDERBAL", None, None), (904, "MARIA CHICA SILVA XUNDERBAL", None, None)]
+    want = _entities(spark, data)
+    assert [902, 903, 904] in want and any(900 in g and len(g) > 1 for g in want)
+    monkeypatch.setattr(N, "CHUNK", 5)
+    assert _entities(spark, data) == want
+
+
+def test_namesakes_part_in_every_state(spark):
+    data = [(k, "RUI BORSANTE TELMURAO", oab, None) for k, oab in enumerate(["PE1111", "PE1111", "PE84822", "CE500", "CE500", "CE77123"])]
+    assert _entities(spark, data) == [[0, 1, 3, 4], [2], [5]]
