@@ -50,6 +50,8 @@ SHORT_TRADE = frozenset("IMP EXP COM IND SERV DISTRIB EMPREEND CONSTR TRANSP".sp
 #: Blocks of more forms than this are split by the letters of what else the forms hold, then compared in chunks of this size.
 CHUNK = 300
 _SHARED_BLOCKS = 2_000_000
+#: The part of a word's rows that one misspelling of it takes.
+TYPO_SHARE = 0.04
 
 
 class Name(NamedTuple):
@@ -180,7 +182,8 @@ def likelihood(v: Name, c: Name, counts: dict[str, int], learnt: dict[str, tuple
             d = edits(w, x, 2 if min(len(w), len(x)) >= 8 else 1)
             if d <= (2 if min(len(w), len(x)) >= 8 else 1 if min(len(w), len(x)) >= 3 else 0):
                 low, high = sorted((counts.get(w, 1), counts.get(x, 1)))
-                if low <= max(2, (0.04 if high >= 60 else 0.4) * high) or "?" in w + x or "�" in w + x:
+                # A misspelling makes up TYPO_SHARE of a word's rows, give or take two deviations.
+                if low <= 1 + TYPO_SHARE * high + 2 * math.sqrt(TYPO_SHARE * high) or "?" in w + x or "�" in w + x:
                     price = 4.0 if d <= 1 else 9.0
                     if best is None or price < best[0]:
                         best = (price, x, d)
