@@ -77,6 +77,19 @@ def party_cover(spark: SparkSession, sf: str) -> DataFrame:
     return events
 
 
+def cover_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """The cover of the saturated leaves with eight filters at most: leaves that don't plateau by then are abandoned."""
+    events, _ = cascade.cover(_leaves(spark, sf), ["day", "event_type"], "event_id", "props", DIGIT_FILTERS, CAP, 5, most=8)
+    return events
+
+
+def partition_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """For each window split by date, its rows and those of its two halves: they tile it."""
+    windows = date_cascade(spark, sf)
+    halves = windows.where("depth > 0").groupBy(F.expr("substring(path, 1, length(path) - 1)").alias("path")).agg(F.sum("n").alias("halves_n"), F.count(F.lit(1)).alias("halves"))
+    return windows.where("kind = 'capped'").join(halves, "path").select("path", "n", "halves_n", "halves")
+
+
 def sweep_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Each number the cover listed, under the first filter that did, without those seen before."""
     _, found = cascade.cover(_leaves(spark, sf), ["day", "event_type"], "event_id", "props", DIGIT_FILTERS, CAP, 5)
@@ -225,7 +238,7 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    window_filter, capped_topk, date_cascade, class_split, class_split_deep, class_split_check, party_filter, party_cover, sweep_dedup,
+    window_filter, capped_topk, date_cascade, class_split, class_split_deep, class_split_check, party_filter, party_cover, cover_budget, partition_sums, sweep_dedup,
     latest_wins, first_seen_last_value, pending_queue, retry_ledger, retry_cap, seen_set, covered_windows, case_documents, page_reconcile,
     budget_cut, breaker_runs, history_start, squash_text, sanitise_segment, date_strings, backoff, stream_dedup, stream_latest,
 )}

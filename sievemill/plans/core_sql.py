@@ -83,6 +83,11 @@ select f.a || ' ' || f.b as filter, p_partkey from part join (values ('co', 'wi'
 select t.day, t.event_type, case when stop is not null then 'covered' else 'abandoned' end as kind,
        cast(coalesce(stop, 15) as integer) as filters_tried, cast(s.union_size as bigint) as union_size
 from stops t join streaks s on s.day = t.day and s.event_type = t.event_type and s.ord = coalesce(stop, 15)""",
+    "cover_budget": _COVER.replace("range(0, 16)", "range(0, 9)") + """
+select t.day, t.event_type, case when stop is not null then 'covered' else 'abandoned' end as kind,
+       cast(coalesce(stop, 8) as integer) as filters_tried, cast(s.union_size as bigint) as union_size
+from stops t join streaks s on s.day = t.day and s.event_type = t.event_type and s.ord = coalesce(stop, 8)""",
+    "partition_sums": f"select path, n, n as halves_n, cast(2 as bigint) as halves from ({_halving('orders', 'o_orderdate', 30)}) where kind = 'capped'",
     "sweep_dedup": _COVER + """
 select f.event_id as number, cast(min(f.ord) as integer) as ord from firsts f join stops t on t.day = f.day and t.event_type = f.event_type
 where f.ord <= coalesce(t.stop, 15) and f.event_id % 10 <> 0 group by 1""",
