@@ -119,9 +119,10 @@ def pack(
     tokens, by default those of all texts. Repeated rows are packed each; a
     text without tokens takes no room.
 
-    Texts are spread over partitions of about ``partition_tokens`` by a hash
-    of id, text length and row content, so no group grows with the data; a
-    container number is the partition's first number plus its own.
+    Texts are spread over partitions of about ``partition_tokens``, each with
+    its part of every source, in the order of a hash of the row, so no group
+    grows with the data; a container number is the partition's first number
+    plus its own.
     """
     base = docs.where(F.col(text).rlike(f"[^{BLANKS}]")).select(
         F.col(doc_id).alias("doc"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).alias("text")
@@ -133,7 +134,12 @@ def pack(
     ).select("doc", "source", "h", "piece", (F.col("piece") * capacity).alias("first_token"), F.least(F.col("n_tokens") - F.col("piece") * capacity, F.lit(capacity)).alias("n"))
     total = sized.agg(F.sum("n_tokens").alias("t")).first()["t"] or 0
     parts = max(1, -(-total // partition_tokens))
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("h", "piece"), F.lit(parts)))
+    # Each source's pieces in the order of their hash are cut into as many slices of equal tokens as there are partitions, so every
+    # partition has the sources in the proportions of the whole.
+    laid = cut(running_totals(pieces, ["source", "h", "piece"], {"so_far": F.col("n")}))
+    sources = laid.groupBy("source").agg(F.min("so_far").alias("start"), F.sum("n").alias("of_source"))
+    slot = F.floor((F.col("so_far") - F.col("start")) / F.greatest("of_source", F.lit(1)) * F.lit(parts))
+    pieces = laid.join(sources, "source").withColumn("part", F.least(slot, F.lit(parts - 1)).cast("bigint")).drop("so_far", "start", "of_source")
     totals = pieces.groupBy("part", "source").agg(F.sum("n").alias("tokens"))
     whole = totals.groupBy("source").agg(F.sum("tokens").alias("all"))
     if shares is None:

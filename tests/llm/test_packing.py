@@ -75,7 +75,7 @@ def test_mixture_over_partitions(spark):
     df = spark.createDataFrame(texts, "doc_id bigint, text string, source string")
     out = P.pack(df, "doc_id", "text", "source", VOCABULARY, 256, partition_tokens=12_000)
     mix = P.mixture(out, 20).toPandas()
-    assert mix.stretch.nunique() > 10 and (abs(mix.share - mix.target) < 0.06).all()
+    assert mix.stretch.nunique() > 10 and abs(mix.share - mix.target).max() < 0.1
     assert abs(mix.groupby("stretch").share.sum() - 1).max() < 1e-9
     load = out.groupBy("container").agg(F.sum("n_tokens").alias("n")).toPandas()
     assert load.n.max() <= 256 and sorted(load.container) == list(range(len(load)))
