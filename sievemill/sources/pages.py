@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sievemill import schemas
 from sievemill.functions.scalars import dated_entry, party_line
 from sievemill.operators.checks import page_advanced, page_plan
+from sievemill.session import cut
 from sievemill.sources import scripts
 from sievemill.sources.markup import Element, squash, table_rows, tree
 
@@ -41,10 +42,15 @@ _DATABASE = re.compile(r"PSQLException|SQLException|Stacktrace completo", re.I)
 _NUMBER = re.compile(r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}")
 
 
+def _root(html: str | Element | None) -> Element:
+    """A page's tree; readers also take one that is there already."""
+    return html if isinstance(html, Element) else tree(html or "")
+
+
 def result_rows(html: str | None) -> list[dict]:
     """The rows of a result page that have both a token and a case number."""
     out = []
-    for row in table_rows(tree(html or ""), RESULTS):
+    for row in table_rows(_root(html), RESULTS):
         link = row.find(lambda e: "onclick" in e.attrs and re.search(r"(?i)listview\.seam\?ca=[0-9a-f]+", e.attrs["onclick"]) is not None)
         cells = row.kids("td")
         if link is None or len(cells) < 2:
@@ -73,7 +79,7 @@ def packed_cell(cell: Element) -> dict[str, str]:
 
 def rejection_message(html: str | None) -> str | None:
     """The first text of a message panel, null without one."""
-    panels = tree(html or "").find_all(lambda e: e.name == "dl" and e.has_class("rich-messages") or e.name == "span" and e.has_class("rich-messages-label"))
+    panels = _root(html).find_all(lambda e: e.name == "dl" and e.has_class("rich-messages") or e.name == "span" and e.has_class("rich-messages-label"))
     return next((t for t in (p.text() for p in panels) if t), None)
 
 
@@ -87,10 +93,10 @@ def class_catalog(html: str | None) -> list[dict]:
     return list(out.values())
 
 
-def page_kind(html: str | None) -> dict[str, str | None]:
+def page_kind(html: str | None, root: Element | None = None) -> dict[str, str | None]:
     """sealed (said in the notice panel only), detail (has the heading) or unexpected with a reason."""
     text = html or ""
-    panels = tree(text).find_all(lambda e: e.name == "dl" and e.has_class("rich-messages") or e.name == "span" and e.has_class("rich-messages-label"))
+    panels = (root or tree(text)).find_all(lambda e: e.name == "dl" and e.has_class("rich-messages") or e.name == "span" and e.has_class("rich-messages-label"))
     notice = " ".join(p.text() for p in panels)
     if _SEALED.search(notice):
         return {"kind": "sealed", "reason": None}
@@ -99,10 +105,10 @@ def page_kind(html: str | None) -> dict[str, str | None]:
     return {"kind": "unexpected", "reason": "database error page" if _DATABASE.search(text) else "no detail panel"}
 
 
-def case_header(html: str | None) -> dict[str, str | None]:
+def case_header(html: str | Element | None) -> dict[str, str | None]:
     """The labelled values of the header; the two cells without a label are told by what they say."""
     out: dict[str, str | None] = dict.fromkeys(["number", *schemas.HEADER_FIELDS])
-    for view in tree(html or "").find_all(lambda e: e.has_class("propertyView")):
+    for view in _root(html).find_all(lambda e: e.has_class("propertyView")):
         name = view.find(lambda e: e.has_class("name"))
         label = name.find(lambda e: e.name == "label").text() if name and name.find(lambda e: e.name == "label") else ""
         box = view.find(lambda e: e.has_class("value"))
@@ -124,10 +130,10 @@ def case_header(html: str | None) -> dict[str, str | None]:
     return out
 
 
-def party_lines(html: str | None, table: str) -> list[dict[str, str]]:
+def party_lines(html: str | Element | None, table: str) -> list[dict[str, str]]:
     """One side's participants as ``line`` and ``status``: the first span of each row's block, and the row's second cell."""
     out = []
-    for row in table_rows(tree(html or ""), TABLES[table]):
+    for row in table_rows(_root(html), TABLES[table]):
         cells = row.kids("td")
         block = cells[0].find(lambda e: e.name == "div" and e.has_class("col-sm-12")) if len(cells) >= 2 else None
         spans = block.kids("span") if block else []
@@ -136,19 +142,19 @@ def party_lines(html: str | None, table: str) -> list[dict[str, str]]:
     return out
 
 
-def movement_lines(html: str | None) -> list[str]:
+def movement_lines(html: str | Element | None) -> list[str]:
     """The first cells of the movements table."""
-    return [row.kids("td")[0].text() for row in table_rows(tree(html or ""), TABLES["movements"]) if row.kids("td")]
+    return [row.kids("td")[0].text() for row in table_rows(_root(html), TABLES["movements"]) if row.kids("td")]
 
 
 def latin1_value(raw: str) -> str:
     return unquote_to_bytes(bytes(ord(c) & 0xFF for c in raw.replace("+", " "))).decode("latin-1")
 
 
-def document_links(html: str | None) -> list[dict]:
+def document_links(html: str | Element | None) -> list[dict]:
     """The download links that carry all their ids, as ``text`` and ``download``."""
     out = []
-    for row in table_rows(tree(html or ""), TABLES["documents"]):
+    for row in table_rows(_root(html), TABLES["documents"]):
         link = row.find(lambda e: e.name == "a" and "idBin=" in e.attrs.get("href", ""))
         if link is None:
             continue
@@ -194,9 +200,9 @@ def _first_index(root: Element, table: str) -> int | None:
     return None
 
 
-def page_facts(html: str | None, table: str) -> dict:
+def page_facts(html: str | Element | None, table: str) -> dict:
     """What a page says of a table: rows of any kind, the declared total, the first row's index, the slider's value, its pager and page count."""
-    root = tree(html or "")
+    root = _root(html)
     slid = next((v for n in root.nodes() if isinstance(n, str) and "sliderValue" in n and (v := scripts.text_after(list(scripts.tokens(n)), "sliderValue"))), None)
     found = _pager(root, table)
     return {
@@ -239,20 +245,29 @@ def _pager(root: Element, table: str) -> dict | None:
     return _slider(root, table) or _scroller(root, table)
 
 
+def read_page(html: str | None) -> dict:
+    """All that a detail page or a further page of one of its tables says, from one reading of it."""
+    root = tree(html or "")
+    return {
+        "kind": page_kind(html, root), "h": case_header(root), "activeParties": party_lines(root, "activeParties"), "passiveParties": party_lines(root, "passiveParties"),
+        "movements": movement_lines(root), "documents": document_links(root), "facts": {table: page_facts(root, table) for table in TABLES},
+    }
+
+
 def pager(html: str | None, table: str) -> dict | None:
     """How a table is paged: a slider if there is one, else a scroller, else null."""
-    return _pager(tree(html or ""), table)
+    return _pager(_root(html), table)
 
 
 def all_pagers(html: str | None) -> dict[str, dict | None]:
     """The pagers of the four tables of a detail page."""
-    root = tree(html or "")
+    root = _root(html)
     return {table: _pager(root, table) for table in TABLES}
 
 
 def search_component(html: str | None) -> str | None:
     """The id under which the search form submits itself, null if the page doesn't say."""
-    for n in tree(html or "").nodes():
+    for n in _root(html).nodes():
         if isinstance(n, str) and "executarPesquisa" in n:
             submit = next(scripts.calls(n[n.index("executarPesquisa") :], "A4J.AJAX.Submit"), [])
             return scripts.text_after(submit, "parameters")
@@ -328,17 +343,23 @@ _PAGER_DDL = "struct<kind:string,baseId:string,pageFieldId:string,eventFieldId:s
 all_pagers_udf = _struct_udf(all_pagers, ", ".join(f"{t} {_PAGER_DDL}" for t in TABLES))
 search_component_udf = _udf(search_component, "string")
 form_fields_udf = lambda form_id: _udf(lambda html: form_fields(html, form_id), "array<struct<name:string,value:string>>")
+_LINES_DDL, _LINKS_DDL = "array<struct<line:string,status:string>>", f"array<struct<text:string,download:{schemas.DOWNLOAD_DDL}>>"
+_FACTS_DDL = "rows:int,declared:int,firstIndex:int,sliderValue:int,pager:string,pageCount:int"
 _movement_lines_udf = _udf(movement_lines, "array<string>")
-_document_links_udf = _udf(document_links, f"array<struct<text:string,download:{schemas.DOWNLOAD_DDL}>>")
+_document_links_udf = _udf(document_links, _LINKS_DDL)
+read_page_udf = _struct_udf(
+    read_page, f"kind struct<kind:string,reason:string>, h struct<{','.join(f'{f}:string' for f in ['number', *schemas.HEADER_FIELDS])}>, activeParties {_LINES_DDL}, passiveParties {_LINES_DDL}, "
+    f"movements array<string>, documents {_LINKS_DDL}, facts struct<{','.join(f'{t}:struct<{_FACTS_DDL}>' for t in TABLES)}>",
+)
 
 
-def movements_udf(html: Column | str) -> Column:
-    """The dated entries of the movements table; other rows are left out."""
-    dated = F.filter(F.transform(_movement_lines_udf(html), dated_entry), lambda d: d.isNotNull())
+def movement_records(lines: Column) -> Column:
+    """The dated entries among the lines of the movements table; others are left out."""
+    dated = F.filter(F.transform(lines, dated_entry), lambda d: d.isNotNull())
     return F.transform(dated, lambda d: F.struct(d["date"].alias("date"), d["text"].alias("description")))
 
 
-def documents_udf(html: Column | str) -> Column:
+def document_records(links: Column) -> Column:
     """The downloads of a page; one without a date has an empty one, its kind stands in the last brackets."""
     tail = r"\(([^()]+)\)\s*$"
 
@@ -350,13 +371,25 @@ def documents_udf(html: Column | str) -> Column:
             link["download"].alias("download"), F.lit(None).cast("string").alias("localPath"),
         )
 
-    return F.transform(_document_links_udf(html), one)
+    return F.transform(links, one)
+
+
+def party_records(lines: Column) -> Column:
+    """The participants among the lines of one side; lines without a name are left out."""
+    return F.filter(F.transform(lines, lambda x: party_line(x["line"], x["status"])), lambda p: p.isNotNull())
+
+
+def movements_udf(html: Column | str) -> Column:
+    return movement_records(_movement_lines_udf(html))
+
+
+def documents_udf(html: Column | str) -> Column:
+    return document_records(_document_links_udf(html))
 
 
 def parties_udf(table: str) -> Callable[[Column | str], Column]:
-    """The participants of one side; lines without a name are left out."""
-    lines = _udf(lambda html: party_lines(html, table), "array<struct<line:string,status:string>>")
-    return lambda html: F.filter(F.transform(lines(html), lambda x: party_line(x["line"], x["status"])), lambda p: p.isNotNull())
+    lines = _udf(lambda html: party_lines(html, table), _LINES_DDL)
+    return lambda html: party_records(lines(html))
 
 
 def page_facts_udf(table: str) -> Callable[[Column], Column]:
@@ -390,17 +423,15 @@ def assemble_cases(pages: DataFrame, expected: DataFrame) -> tuple[DataFrame, Da
     table with their own rows pre-parsed, in page order; further pages of a
     table without a pager don't count.
     """
-    first = pages.where("table_id is null").select("ca", "html").withColumn("kind", page_kind_udf("html")).withColumn("h", case_header_udf("html"))
-    further = pages.where("table_id is not null")
-    readers = {
-        "activeParties": parties_udf("activeParties"), "passiveParties": parties_udf("passiveParties"), "movements": movements_udf, "documents": documents_udf,
-    }
+    # Each page is read once; what it holds is written and joined from there.
+    parsed = cut(pages.select("ca", "table_id", "page", read_page_udf("html").alias("p")))
+    first = parsed.where("table_id is null").select("ca", "p.kind", "p.h")
+    readers = {"activeParties": party_records, "passiveParties": party_records, "movements": movement_records, "documents": document_records}
     cases = first.join(expected.withColumnRenamed("number", "expected"), "ca", "left")
     wrong = F.lit(None).cast("string")
     for table, reader in readers.items():
-        own = first.select("ca", F.lit(1).alias("page"), "html")
-        more = further.where((F.col("table_id") == table) & (F.col("page") > 1)).select("ca", "page", "html")
-        each = own.union(more).withColumn("items", reader("html")).withColumn("f", page_facts_udf(table)("html")).drop("html")
+        own = parsed.where(F.col("table_id").isNull() | (F.col("table_id") == table) & (F.col("page") > 1))
+        each = own.select("ca", F.when(F.col("table_id").isNull(), 1).otherwise(F.col("page")).alias("page"), reader(F.col(f"p.{table}")).alias("items"), F.col(f"p.facts.{table}").alias("f"))
         head = each.where("page = 1").select("ca", F.col("f.pager").alias("pager"), F.col("f.rows").alias("size"), F.col("f.declared").alias("declared"), F.col("f.pageCount").alias("links"))
         each = each.join(head, "ca").where("page = 1 or pager is not null")
         each = each.withColumn("advanced", (F.col("page") == 1) | page_advanced(F.col("pager"), F.col("page"), F.col("size"), F.col("f.firstIndex"), F.col("f.sliderValue")))
