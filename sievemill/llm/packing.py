@@ -183,13 +183,14 @@ def mixture(packed: DataFrame, stretch: int = 100) -> DataFrame:
 
     ``share`` is the source's part of the stretch's tokens, ``target`` its
     part of all tokens. Only whole stretches are reported, as the last one
-    holds what is left over.
+    holds what is left over; a source without a token in a stretch doesn't
+    come out for it.
     """
     last = packed.agg(F.max("container").alias("m")).first()["m"]
     per = cut(packed.groupBy(F.floor(F.col("container") / stretch).alias("stretch"), "source").agg(F.sum("n_tokens").alias("n")))
     whole = per.groupBy("stretch").agg(F.sum("n").alias("all"))
     overall = per.groupBy("source").agg(F.sum("n").alias("of_source"))
     total = per.agg(F.sum("n").alias("t")).first()["t"]
-    grid = whole.withColumn("k", F.lit(1)).join(overall.withColumn("k", F.lit(1)), "k").join(per, ["stretch", "source"], "left")
-    kept = grid.where((F.col("stretch") + 1) * stretch <= F.lit(0 if last is None else last + 1))
-    return kept.select("stretch", "source", (F.coalesce("n", F.lit(0)) / F.col("all")).alias("share"), (F.col("of_source") / F.lit(total)).alias("target"))
+    joined = per.join(whole, "stretch").join(overall, "source")
+    kept = joined.where((F.col("stretch") + 1) * stretch <= F.lit(0 if last is None else last + 1))
+    return kept.select("stretch", "source", (F.col("n") / F.col("all")).alias("share"), (F.col("of_source") / F.lit(total)).alias("target"))
