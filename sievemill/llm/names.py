@@ -14,11 +14,15 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations, product
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +51,10 @@ TRADE = frozenset(
 OFFICE = frozenset("MUNICIPIO UNIVERSIDADE FUNDACAO INSTITUTO CONSELHO SUPERINTENDENCIA ASSOCIACAO FRENTE UNIAO ESTADO PREVIDENCIA REGIONAL PORTO TERRAS".split())
 TOWN = frozenset("MUNICIPIO PREFEITURA MUNICIPAL FAZENDA MUN MUNIC PREF".split())
 SHORT_TRADE = frozenset("IMP EXP COM IND SERV DISTRIB EMPREEND CONSTR TRANSP".split())
-#: Blocks of more forms than this are split by the letters of what else the forms hold, then compared in chunks of this size.
+#: No block is parted in chunks any more; tests still set this.
 CHUNK = 300
-_SHARED_BLOCKS = 2_000_000
+#: Forms of this many tokens or more meet by pairs of words, those of this many or fewer by signatures.
+LONG_NAME = 6
 #: The part of a word's rows that one misspelling of it takes.
 TYPO_SHARE = 0.04
 
@@ -258,7 +263,7 @@ def _skeleton(word: str) -> str:
 
 
 def block_keys(n: Name, counts: dict[str, int], learnt: dict[str, tuple[str, ...]] | None = None) -> list[str]:
-    """The blocks of a spelling: all pairs of words, however frequent.
+    """The blocks of a spelling: all pairs of words, however frequent. Only a measure for :func:`candidates`, which finds what these find and more.
 
     Short forms of given names also stand for the names. For the two rarest
     words there are also pairs with one letter left out of either, so that a
@@ -286,21 +291,6 @@ def block_keys(n: Name, counts: dict[str, int], learnt: dict[str, tuple[str, ...
     return sorted(out)
 
 
-def split_keys(n: Name, key: str, learnt: dict[str, tuple[str, ...]] | None = None) -> list[str]:
-    """The parts of a block that is too large in which a form belongs: by the first letters of what it holds beside the block's words.
-
-    Two forms that fit have a further word or initial in common, if they
-    have any: equal, short for the other, or a typo of it. One letter put in,
-    left out, changed or swapped leaves one of the first two letters among
-    the first two of the other.
-    """
-    inside = set(key.replace("-", " ").replace("=", " ").split()) if key[0] != "~" else set()
-    learnt = learnt or {}
-    rest = [w for w in n.words if w not in inside and not any(x in inside for x in _full_forms(w, learnt))]
-    letters = {c for w in rest for x in (w, *_full_forms(w, learnt)) for c in (x[:2] if len(x) > 1 else x)} | set(n.initials)
-    return [f"{key} {c}" for c in sorted(letters)] or [f"{key} *"]
-
-
 def compare(a: str, b: str) -> tuple[bool, float] | None:
     """Two lines of forms: whether the first is the variant, and its score under the other; null if neither fits.
 
@@ -404,80 +394,188 @@ def _pointers(parents: DataFrame, child: str = "child", parent: str = "parent")
         now = after.select("c", "p")
 
 
-def _paired(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of forms in blocks of at most CHUNK, and the entries of larger blocks: (pairs, rest)."""
-    sizes = cut(entries.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("a"), F.max("id").alias("b")).where("size > 1"))
-    # Most blocks hold two forms: those are the least and the greatest id.
-    twos = sizes.where("size = 2").select("a", "b")
-    more = sizes.where("size > 2").select("block", "size")
-    # Up to so many blocks (some 32 MB) their hashes go to the entries, beyond that both are shuffled.
-    if more.limit(_SHARED_BLOCKS + 1).count() <= _SHARED_BLOCKS:
-        more = F.broadcast(more)
-    sized = cut(entries.join(more, "block"))
-    small = sized.where(F.col("size") <= CHUNK).select("block", "id")
-    pairs = small.select("block", F.col("id").alias("a")).join(small.select("block", F.col("id").alias("b")), "block").where("a < b").select("a", "b")
-    return twos.unionByName(pairs), sized.where(F.col("size") > CHUNK).select("block", "id", "size")
+def _deletions(word: str, depth: int) -> set[str]:
+    """The word, and what is left of it without up to ``depth`` letters."""
+    out = now = {word}
+    for _ in range(depth):
+        now = {w[:k] + w[k + 1 :] for w in now for k in range(len(w))}
+        out = out | now
+    return out
+
+
+def _limit(a: str, b: str) -> int:
+    """The edits by which two words may be apart."""
+    return 2 if min(len(a), len(b)) >= 8 else 1 if min(len(a), len(b)) >= 3 else 0
+
+
+def kindred(words: DataFrame) -> DataFrame:
+    """What a word may be a misspelling or a diminutive of: ``word, up, d``. ``words`` has each ``word`` once with its rows ``c``.
+
+    All pairs of words that :func:`likelihood` takes for a typo of one
+    another are found, each as a step from the rarer word up. They are looked
+    for among the distinct words, of which there are far fewer than names.
+    Edits leave a common rest after as many letters are left out of both.
+    Words with unreadable characters are held against all others by the
+    letters they have.
+    """
+    spark = words.sparkSession
+    unreadable = F.col("word").rlike("[?\ufffd]")
+    # Few bytes, but much to do for each word; what comes of them is many times larger than Spark takes it for, so it is merged, not broadcast.
+    spread = words.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    @F.pandas_udf("array<bigint>")
+    def rests(given: pd.Series) -> pd.Series:
+        return given.map(lambda w: [_block_hash(r) for r in _deletions(w, _limit(w, w))])
+
+    clear = cut(spread.where(~unreadable & (F.length("word") >= 3)).select("word", "c", F.explode(rests("word")).alias("rest")).repartition("rest").sortWithinPartitions("rest"))
+    low, high = (clear.select("rest", F.col("word").alias(w), F.col("c").alias(c)) for w, c in (("word", "low"), ("up", "high")))
+    # As in likelihood: a misspelling makes up TYPO_SHARE of a word's rows, give or take two deviations.
+    rare = (F.col("low") < F.col("high")) | (F.col("low") == F.col("high")) & (F.col("word") < F.col("up"))
+    rare &= F.col("low") <= 1 + TYPO_SHARE * F.col("high") + 2 * F.sqrt(TYPO_SHARE * F.col("high")) + 1e-6
+    bags = [F.array_join(F.array_sort(F.split(w, "")), "") for w in ("word", "up")]
+    plain = F.levenshtein("word", "up")
+    # A swap is two plain edits and leaves the letters as they are. At least as many edits as these are needed.
+    d = F.when((plain <= 1) | (plain == 2) & (bags[0] == bags[1]), 1).when((plain == 2) | (plain <= 4) & (F.levenshtein(*bags) <= 2), 2)
+    # Cut, or the edits would be counted before equal pairs are brought together.
+    near = cut(low.hint("merge").join(high, "rest").where(rare).select("word", "up").distinct()).select("word", "up", d.alias("d"))
+    near = near.where((F.col("d") == 1) | (F.col("d") == 2) & (F.least(F.length("word"), F.length("up")) >= 8))
+    broken = sorted(r["word"] for r in words.where(unreadable).select("word").collect())
+    if broken:
+        shared = spark.sparkContext.broadcast(broken)
+
+        @F.pandas_udf("array<string>")
+        def like_broken(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            held = shared.value
+            letters, sizes, gaps = np.stack([_letters(w) for w in held]), np.array([len(w) for w in held]), np.array([sum(c in _UNREADABLE for c in w) for w in held])
+
+            def one(w: str) -> list[str]:
+                own, shorter, free = _letters(w), np.minimum(sizes, len(w)), sum(c in _UNREADABLE for c in w)
+                most = np.where(shorter >= 8, 2, np.where(shorter >= 3, 1, 0))
+                near = (np.abs(sizes - len(w)) <= most) & (np.maximum(letters - own, 0).sum(axis=1) <= most + free) & (np.maximum(own - letters, 0).sum(axis=1) <= most + gaps)
+                return [f"{held[k]} {d}" for k in np.flatnonzero(near) if held[k] != w and (d := edits(w, held[k], _limit(w, held[k]))) <= _limit(w, held[k])]
+
+            for batch in batches:
+                yield batch.map(one)
+
+        found = spread.select("word", F.explode(like_broken("word")).alias("b")).select("word", F.split_part("b", F.lit(" "), F.lit(1)).alias("up"), F.split_part("b", F.lit(" "), F.lit(2)).cast("int").alias("d"))
+        # Shares of the rows say nothing here: the unreadable word steps to the other.
+        near = near.unionByName(found.select(F.col("up").alias("word"), F.col("word").alias("up"), "d"))
+    short = words.where(F.col("word").rlike("(INHO|INHA|INHOS)$")).select("word", F.regexp_replace("word", "INH(O|A|OS)$", "").alias("stem"))
+    stem = F.regexp_replace("word", "[AEIOU]+S?$", "")
+    full = words.where(F.length(stem) >= 2).select(F.col("word").alias("up"), F.explode(F.array(stem, F.concat(stem, F.lit("U")), F.concat(stem, F.lit("I")))).alias("stem"))
+    return near.unionByName(short.join(full, "stem").where("word <> up").select("word", "up", F.lit(0).alias("d")))
+
+
+def _letters(word: str) -> np.ndarray:
+    return np.bincount([ord(c) - 65 for c in word if "A" <= c <= "Z"], minlength=26)
 
 
 def _block_hash(key: str) -> int:
     return xxhash.xxh64_intdigest(key) - (1 << 63)
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """The pairs of forms that meet in a block, each once: ``a, b`` (ids). ``lines`` has ``id, line``.
+def signatures(n: Name, counts: dict[str, int], learnt: dict[str, tuple[str, ...]], ups: dict[str, tuple[tuple[str, int], ...]]) -> Iterator[tuple[str, int, int, int, int]]:
+    """The signatures by which a form meets all forms that fit it: key, tokens left out, words abbreviated, edits, initials in the key.
 
-    Only ids and hashes of blocks are moved. A block of more than CHUNK forms
-    is split by :func:`split_keys`; what is still larger is compared chunk by
-    chunk, all of it, so no block is capped.
+    Two forms that fit have, beside one token that either may lack, the same
+    words and initials, if each word is read as itself, as what it may be a
+    misspelling or short form of, or as its initial. So both hold a signature of one
+    key, in which one of them leaves out a token at most, no token is abbreviated by
+    both and three edits are made at most. Two words at least are kept, unless the names are equal but for
+    connectors. Forms of many tokens, for which there would be too many signatures, meet by pairs of words.
     """
+    read = {w: {w: 0} | {x: 0 for x in _full_forms(w, learnt)} for w in n.words}
+    for w, own in read.items():
+        for x, d in ups.get(w, ()):
+            own[x] = min(d, own.get(x, d))
+    initials = [i for i in n.initials if i != "D"]
+    free = len(n.initials) - len(initials)
+    least = len(n.words) + len(initials)
+    if least + free >= LONG_NAME:
+        several = [w for w, k in Counter(n.words).items() for _ in range(min(k, 2))]
+        for a, b in combinations(several, 2):
+            for x, y in product(read[a], read[b]):
+                yield f"&{n.ending} {min(x, y)} {max(x, y)}", 0, 0, 0, 0
+    if least > LONG_NAME:
+        return
+    rarest = sorted(n.words, key=lambda w: (counts.get(w, 1), -len(w), w))[:2]
+    ways: list[list[tuple[str, int, int, int]]] = [[(x, 0, 0, d) for x, d in read[w].items()] + [(f"{w[0]}.", 0, 1, 0)] + ([("", 1, 0, 0)] if w not in rarest else []) for w in n.words]
+    ways += [[(f"{i}.", 0, 0, 0), ("", 1, 0, 0)] for i in initials] + [[("D.", 0, 0, 0), ("", 0, 0, 0)]] * free
+    found: list[tuple[tuple[str, ...], int, int, int]] = [((), 0, 0, 0)]
+    words_left = len(n.words)
+    for k, way in enumerate(ways):
+        words_left = max(0, len(n.words) - k - 1)
+        found = [
+            ((*kept, token) if token else kept, lost + gone, cut_ + short, off + d)
+            for kept, lost, cut_, off in found for token, gone, short, d in way
+            if lost + gone <= 1 and off + d <= 3 and (len(n.words) < 2 or k >= len(n.words) or sum(t[-1] != "." for t in kept) + (token[-1:] not in ("", ".")) + words_left >= 2)
+        ]
+    for kept, lost, short, off in found:
+        room = sum(t[-1] == "." for t in kept)
+        if short <= room and (not lost or len(kept) >= 3) and (len(n.words) >= 2 or not (lost or short or off)):
+            yield f"{n.ending} {' '.join(sorted(kept))}", lost, short, off, room
 
-    @F.pandas_udf("array<bigint>")
-    def blocks(given: pd.Series) -> pd.Series:
-        def one(line: str) -> list[int]:
-            name, _, counts, learnt, _ = _counted(line)
-            return list(map(_block_hash, block_keys(name, counts, learnt)))
 
-        return given.map(one)
+def candidates(lines: DataFrame) -> DataFrame:
+    """The pairs of forms that may fit, each once: ``a, b`` (ids). ``lines`` has ``id, line, ups``.
 
-    @F.pandas_udf("array<bigint>")
-    def parts(given: pd.Series, large: pd.Series) -> pd.Series:
-        def one(line: str, hashes) -> list[int]:
-            name, _, counts, learnt, _ = _counted(line)
-            wanted = set(hashes)
-            return sorted({_block_hash(p) for k in block_keys(name, counts, learnt) if _block_hash(k) in wanted for p in split_keys(name, k, learnt)})
-
-        return pd.Series([one(x, h) for x, h in zip(given, large, strict=True)])
-
-    pairs, large = _paired(cut(lines.select("id", F.explode(blocks("line")).alias("block"))))
-    if not large.isEmpty():
-        again = large.groupBy("id").agg(F.collect_list("block").alias("large")).join(lines, "id")
-        more, rest = _paired(cut(again.select("id", F.explode(parts("line", "large")).alias("block"))))
-        chunked = rest.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-        spread = chunked.select("block", "id", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-        spread = spread.select("block", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "id")
-        keys = ["block", "lo", "hi"]
-        crossed = spread.withColumnRenamed("id", "a").join(spread.withColumnRenamed("id", "b"), keys).where("a < b").select("a", "b")
-        pairs = pairs.unionByName(more).unionByName(crossed)
+    Only ids and hashes of :func:`signatures` are moved. Forms that hold frequent
+    words in common, but nothing else, don't meet: a form that abbreviates meets only
+    those that have the initial, one that leaves a token out only those that lack it.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, blocks, uses = [], [], []
+            for i, line, ups in zip(*(batch.column(c).to_pylist() for c in ("id", "line", "ups")), strict=True):
+                name, _, counts, learnt, _ = _counted(line)
+                steps = {w: tuple((x, int(d)) for x, d in (t.split(":") for t in of.split(","))) for w, of in (x.split("=") for x in (ups or "").split(";") if x)}
+                for block, use in {(_block_hash(key), lost | off << 1 | short << 3 | room << 8) for key, lost, short, off, room in signatures(name, counts, learnt, steps)}:
+                    ids.append(i)
+                    blocks.append(block)
+                    uses.append(use)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blocks, pa.int64()), pa.array(uses, pa.int32())], ["id", "block", "use"])
+
+    # Parted and sorted once, for all joins.
+    held = cut(lines.mapInArrow(entries, "id bigint, block bigint, use int").repartition("block").sortWithinPartitions("block"))
+    lost, short, room = (F.expr(f"shiftright(use, {k}) & {m}") for k, m in ((0, 1), (3, 31), (8, 255)))
+    whole, less = held.where((lost == 0) & (short == 0)), held.where((lost == 1) | (short > 0))
+    cut_off, abbreviated = held.where((lost == 1) & (short == 0)), held.where((lost == 0) & (short > 0))
+    partly = held.where((short > 0) & (short < room))
+
+    def met(x: DataFrame, y: DataFrame, ordered: bool = False) -> DataFrame:
+        both = x.select("block", F.col("id").alias("a"), F.col("use").alias("u")).hint("merge").join(y.select("block", F.col("id").alias("b"), F.col("use").alias("v")), "block")
+        both = both.where(("a < b" if ordered else "a <> b") + " and (u & 1) + (v & 1) <= 1 and (shiftright(u, 1) & 3) + (shiftright(v, 1) & 3) <= 3 and (shiftright(u, 3) & 31) + (shiftright(v, 3) & 31) <= shiftright(u, 8)")
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    pairs = met(whole, whole, True).unionByName(met(whole, less)).unionByName(met(cut_off, abbreviated)).unionByName(met(partly, partly, True))
     return pairs.distinct()
 
 
+def described(forms: DataFrame, short_forms: DataFrame) -> DataFrame:
+    """What is needed to meet and to score each form: ``id, line, ups``. ``forms`` has ``id, key, n``."""
+    words = forms.select("id", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
+    sized = cut(words.groupBy("word").agg(F.sum("n").alias("c")))
+    steps = kindred(sized).groupBy("word").agg(F.concat("word", F.lit("="), F.array_join(F.collect_set(F.concat("up", F.lit(":"), F.col("d").cast("string"))), ",")).alias("ups"))
+    known = sized.join(short_forms, "word", "left").join(steps, "word", "left")
+    known = known.select("word", "c", "ups", F.when(F.col("full").isNotNull(), F.concat("word", F.lit("="), F.array_join("full", ","))).alias("short"))
+    listed = words.join(known, "word").groupBy("id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"), F.array_join(F.sort_array(F.collect_set("short")), ";").alias("short"), F.array_join(F.collect_set("ups"), ";").alias("ups"),
+    )
+    line = F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit("")), F.coalesce("short", F.lit("")))
+    return cut(forms.join(listed, "id", "left").select("id", line.alias("line"), "ups"))
+
+
 def attribute(keyed: DataFrame, short_forms: DataFrame) -> DataFrame:
     """Attach each spelling to its canonical form: ``key, root``.
 
     ``keyed`` has one row per record with ``key``, ``short_forms`` is what
     :func:`learn_short_forms` gives. Spellings are counted
-    first, so a name may hold any share of the rows. The pairs that meet in
-    some block are scored once each; the best parent over all of them holds.
+    first, so a name may hold any share of the rows. The pairs that may fit are
+    scored once each; the best parent over all of them holds.
     """
     forms = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("id", F.monotonically_increasing_id()))
-    words = forms.select("id", "n", F.posexplode(F.filter(F.split(F.split("key", r"\|")[0], " "), lambda w: w != "")).alias("at", "word"))
-    known = words.groupBy("word").agg(F.sum("n").alias("c")).join(short_forms, "word", "left")
-    known = known.select("word", "c", F.when(F.col("full").isNotNull(), F.concat("word", F.lit("="), F.array_join("full", ","))).alias("short"))
-    listed = words.join(known, "word").groupBy("id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"].cast("string")), ",").alias("counts"), F.array_join(F.sort_array(F.collect_set("short")), ";").alias("short")
-    )
-    line = F.concat_ws("\t", "key", F.col("n").cast("string"), F.coalesce("counts", F.lit("")), F.coalesce("short", F.lit("")))
-    lines = cut(forms.join(listed, "id", "left").select("id", line.alias("line")))
+    lines = described(forms, short_forms)
 
     @F.pandas_udf("first boolean, score double")
     def scored(a: pd.Series, b: pd.Series) -> pd.DataFrame:

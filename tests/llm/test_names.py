@@ -1,3 +1,5 @@
+from itertools import combinations
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -98,3 +100,37 @@ def test_hot_block_is_split_and_keeps_its_pairs(spark, monkeypatch):
 def test_namesakes_part_in_every_state(spark):
     data = [(k, "RUI BORSANTE TELMURAO", oab, None) for k, oab in enumerate(["PE1111", "PE1111", "PE84822", "CE500", "CE500", "CE77123"])]
     assert _entities(spark, data) == [[0, 1, 3, 4], [2], [5]]
+
+
+def _met(spark, keys):
+    """Per line of a form the pairs that :func:`candidates` brings together, and those of all pairs that fit."""
+    forms = spark.createDataFrame([(k, key, n) for k, (key, n) in enumerate(sorted(keys.items()))], "id bigint, key string, n bigint")
+    lines = N.described(forms, spark.createDataFrame([], "word string, full array<string>")).persist()
+    line = {r.id: r.line for r in lines.collect()}
+    met = {(r.a, r.b) for r in N.candidates(lines).collect()}
+    return line, met, {(a, b) for a, b in combinations(sorted(line), 2) if N.compare(line[a], line[b])}
+
+
+def test_candidates_are_all_that_fit(spark, data):
+    """Against brute force: swaps, two edits, initials on either side, a name less, short forms, D., unreadable letters, many tokens, typos in both words."""
+    made = [
+        "MARIA HELENA LAMFIBURANTE ALDPAGARANTE", "MARIA H. LAMFIBURANTE ALDPAGARANTE", "M. HELENA LAMFIBURANTE ALDPAGARANTE", "MARIA LAMFIBURANTE ALDPAGARANTE", "MARAI HELENA LAMFIBRUANTE ALDPAGARANTE", "MARIA HELENA LAMIBURATE ALDPAGARANTE",
+        "MARIA HELENA D. LAMFIBURANTE ALDPAGARANTE", "MARIA H. DALVA LAMFIBURANTE", "MARIA HELENA D. LAMFIBURANTE", "RITA PEDRINHO QUARPETAO", "RITA PEDRO QUARPETAO", "ZE QUARPETAO", "JOSE QUARPETAO", "M?RIA HELENA LAMF?BURAT ALDPAGARANTE", "M??IA HELENA LAMFIBURANTE ALDPAGARANTE",
+        "BRUFIDELATE NERNULUSED", "BRUFIDELANTE NERNULUSEDO", "ANA BIA CARLA DORA EVA FABIA GILDA MUNDORIM", "ANA B. CARLA DORA EVA FABIA GILDA MUNDORIM", "ANA BIA CARLA DORA EVA FABIA G. MUNDORI", "ANA BIA CARLA DORA EVA FABIA MUNDORIM", "ANA B. C. D. E. FABIA", "ANA BIA C. D. EVA FABIA", "CASTOR LTDA", "D. CASTOR LTDA",
+    ]
+    names = [*made, *(r.name for r in spark.read.parquet(f"{data}/party_rows.parquet").select("name").where("name is not null").collect())]
+    keys = {}
+    for k, name in enumerate(names):
+        keys[N.parse(name).key()] = 1 + k % 7
+    line, met, want = _met(spark, keys)
+    assert want <= met, [(line[a], line[b]) for a, b in want - met]
+    assert len(want) > 30
+
+
+def test_frequent_names_in_common_bring_nobody_together(spark):
+    """As many candidates as fit, not as pairs in a block, when hundreds share two frequent names and an initial."""
+    tails = [f"{a}{b}{c}DORIMAU" for a in ("BRU", "BEL", "BOR") for b in ("ZATO", "LIFE", "NUGA", "PIRO", "SEMI", "VUCA", "DOLI", "TRAPE", "FIGO", "MUNE") for c in ("LOSTA", "VERNI", "GUBRO", "PAMSE", "CIDUL", "ZORFE", "TALNI", "FESPO")]
+    keys = {N.parse(f"MARIA HELENA {w}").key(): 5 for w in tails} | {N.parse("MARIA HELENA B.").key(): 1}
+    line, met, want = _met(spark, keys)
+    assert len(line) == 241 and want <= met
+    assert len(met) <= 2 * len(tails) + len(want)
